@@ -8,17 +8,17 @@ from pyspark.sql import functions as F
 from tenorbook import fixed_values
 
 
-def region_of(country: Column) -> Column:
-    """Region of a two-letter country code.
+def region_of(country: str) -> Column:
+    """Region of the two-letter code in a column.
 
-    Each membership test is a hash-set lookup in generated code, so the lookup
-    needs no join.
+    Spark turns each long IN list into a hash-set lookup in generated code, so
+    this needs no join.
     """
-    label = None
-    for region, countries in fixed_values.REGION_COUNTRIES.items():
-        inside = country.isin(countries)
-        label = F.when(inside, region) if label is None else label.when(inside, region)
-    return label.otherwise(fixed_values.OTHER_REGION)
+    branches = " ".join(
+        f"WHEN {country} IN ({', '.join(map(repr, countries))}) THEN '{region}'"
+        for region, countries in fixed_values.REGION_COUNTRIES.items()
+    )
+    return F.expr(f"CASE {branches} ELSE '{fixed_values.OTHER_REGION}' END")
 
 
 def maturity_bucket(

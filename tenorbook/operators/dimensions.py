@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,14 +24,11 @@ def static_relation(
 ) -> DataFrame:
     """Inline rows as a relation.
 
-    `createDataFrame` on Python rows gives the optimizer no size, so joins against
-    it would shuffle; inlined literals carry their true size.
+    Python rows would become an RDD of unknown size, against which joins shuffle.
+    An Arrow table becomes a local relation, whose true size the optimizer knows.
     """
-    structs = [
-        F.struct(*[F.lit(value).alias(name) for name, value in zip(columns, row)])
-        for row in rows
-    ]
-    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+    arrays = [pa.array(column) for column in zip(*rows)]
+    return spark.createDataFrame(pa.table(arrays, names=list(columns)))
 
 
 def date_bounds(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
@@ -92,5 +90,5 @@ def dim_counterparty(int_deals: DataFrame) -> DataFrame:
     return (
         int_deals.select("cpty_code", "cpty_name", "cpty_country")
         .distinct()
-        .withColumn("region", region_of(F.col("cpty_country")))
+        .withColumn("region", region_of("cpty_country"))
     )

@@ -16,21 +16,6 @@ def _is_sight(cfg: Config) -> Column:
     return F.coalesce(F.col("deal_type") == cfg.sight_type, F.lit(False))
 
 
-def _live_buckets(frame: DataFrame, cfg: Config) -> DataFrame:
-    """Adds days to maturity and bucket, and drops what has already matured."""
-    days = F.datediff("maturity_date", "as_of_date")
-    return (
-        frame.withColumn("days_to_maturity", days)
-        .filter((F.col("days_to_maturity") > 0) | F.col("is_sight"))
-        .withColumn(
-            "maturity_bucket",
-            maturity_bucket(
-                F.col("days_to_maturity"), F.col("is_sight"), cfg.bucket_edges
-            ),
-        )
-    )
-
-
 def active_deals(fct: DataFrame, cfg: Config = Config()) -> DataFrame:
     """Deals in the active state, with the maturity date decoded from its key."""
     return fct.filter(F.col("deal_status") == cfg.active_status).select(
@@ -82,14 +67,21 @@ def exposed_profile(fct: DataFrame, cfg: Config = Config()) -> DataFrame:
             "total_sdr",
         )
     )
-    return _live_buckets(dated, cfg).select(
-        "as_of_date",
-        "is_sight",
-        "maturity_date",
-        "days_to_maturity",
-        "maturity_bucket",
-        "deal_count",
-        "total_sdr",
+    days = F.col("days_to_maturity")
+    return (
+        dated.withColumn("days_to_maturity", F.datediff("maturity_date", "as_of_date"))
+        .filter((days > 0) | F.col("is_sight"))
+        .select(
+            "as_of_date",
+            "is_sight",
+            "maturity_date",
+            "days_to_maturity",
+            maturity_bucket(days, F.col("is_sight"), cfg.bucket_edges).alias(
+                "maturity_bucket"
+            ),
+            "deal_count",
+            "total_sdr",
+        )
     )
 
 
@@ -108,17 +100,26 @@ def maturity_ladder(fct: DataFrame, cfg: Config = Config()) -> DataFrame:
 def deals_outstanding_at(
     fct: DataFrame, as_of: dt.date, cfg: Config = Config()
 ) -> DataFrame:
-    """The individual deals behind one as-of date of the ladder."""
-    dated = active_deals(fct, cfg).select(
-        F.lit(as_of).alias("as_of_date"), _is_sight(cfg).alias("is_sight"), "*"
+    """The individual deals behind one as-of date of the ladder.
+
+    Keys sort like dates, so the test for "still outstanding" is made on the integer
+    key: on a published fact it reaches the scan as a range filter.
+    """
+    as_of_key = as_of.year * 10000 + as_of.month * 100 + as_of.day
+    outstanding = fct.filter(
+        (F.col("maturity_date_key") > as_of_key) | (F.col("deal_type") == cfg.sight_type)
     )
-    return _live_buckets(dated, cfg).select(
+    dated = active_deals(outstanding, cfg).withColumn("as_of_date", F.lit(as_of))
+    days = F.datediff("maturity_date", "as_of_date")
+    return dated.withColumn("days_to_maturity", days).select(
         "as_of_date",
         "deal_id",
         "deal_type",
         "maturity_date",
         "days_to_maturity",
-        "maturity_bucket",
+        maturity_bucket(
+            F.col("days_to_maturity"), _is_sight(cfg), cfg.bucket_edges
+        ).alias("maturity_bucket"),
         "nominal_amount_sdr",
     )
 

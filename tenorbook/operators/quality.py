@@ -134,25 +134,18 @@ def domain_report(deals: DataFrame) -> DataFrame:
 
 def cast_failures(raw_deals: DataFrame) -> DataFrame:
     """Raw values that are not empty but have no typed form."""
-    failed = {
-        column: (F.trim(F.col(column)) != "") & typed.isNull()
-        for column, typed in deal_casts().items()
-    }
-    any_failed = reduce(lambda a, b: a | b, failed.values())
     entries = [
-        F.when(
-            bad,
-            F.struct(
-                F.lit(column).alias("column_name"), F.col(column).alias("raw_value")
-            ),
+        F.struct(
+            F.lit(column).alias("column_name"),
+            F.col(column).cast("string").alias("raw_value"),
+            typed.isNull().alias("untyped"),
         )
-        for column, bad in failed.items()
+        for column, typed in deal_casts().items()
     ]
     return (
-        raw_deals.filter(any_failed)
-        .select("deal_id", F.explode(F.array(*entries)).alias("entry"))
-        .filter(F.col("entry").isNotNull())
-        .select("deal_id", "entry.column_name", "entry.raw_value")
+        raw_deals.select("deal_id", F.inline(F.array(*entries)))
+        .filter(F.col("untyped") & (F.trim("raw_value") != ""))
+        .drop("untyped")
     )
 
 

@@ -3,19 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Collection, Mapping
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tenorbook.config import Config
+from tenorbook.operators import dimensions
 from tenorbook.operators.conversion import to_sdr
-from tenorbook.operators.dimensions import (
-    date_bounds,
-    date_spine,
-    dim_counterparty,
-    dim_currency,
-    dim_date,
-    dim_product,
-)
 from tenorbook.operators.fact import fact_deposits
 from tenorbook.operators.ladder import maturity_ladder
 from tenorbook.operators.staging import stage_deals, stage_fx_rates
@@ -35,16 +29,56 @@ LAYERS = {
 }
 
 
-def _dimensions(
-    spark: SparkSession, int_deals: DataFrame, cfg: Config
-) -> dict[str, DataFrame]:
-    calendar = date_spine(date_bounds(spark, cfg.calendar_start, cfg.calendar_end))
-    return {
-        "dim_counterparty": dim_counterparty(int_deals),
-        "dim_currency": dim_currency(spark),
-        "dim_date": dim_date(calendar, cfg.fiscal_start_month),
-        "dim_product": dim_product(spark),
-    }
+class Models:
+    """Every model as an attribute, composed from its inputs on first access."""
+
+    def __init__(
+        self, spark: SparkSession, sources: Sources, cfg: Config = Config()
+    ) -> None:
+        self.spark = spark
+        self.sources = sources
+        self.cfg = cfg
+
+    @cached_property
+    def stg_deals(self) -> DataFrame:
+        return stage_deals(self.sources.deals)
+
+    @cached_property
+    def stg_fx_rates(self) -> DataFrame:
+        return stage_fx_rates(self.sources.fx_rates)
+
+    @cached_property
+    def int_deals_with_sdr(self) -> DataFrame:
+        return to_sdr(self.stg_deals, self.stg_fx_rates)
+
+    @cached_property
+    def dim_counterparty(self) -> DataFrame:
+        return dimensions.dim_counterparty(self.int_deals_with_sdr)
+
+    @cached_property
+    def dim_currency(self) -> DataFrame:
+        return dimensions.dim_currency(self.spark)
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        days = dimensions.date_spine(
+            dimensions.date_bounds(
+                self.spark, self.cfg.calendar_start, self.cfg.calendar_end
+            )
+        )
+        return dimensions.dim_date(days, self.cfg.fiscal_start_month)
+
+    @cached_property
+    def dim_product(self) -> DataFrame:
+        return dimensions.dim_product(self.spark)
+
+    @cached_property
+    def fct_currency_deposits(self) -> DataFrame:
+        return fact_deposits(self.int_deals_with_sdr)
+
+    @cached_property
+    def mart_maturity_ladder(self) -> DataFrame:
+        return maturity_ladder(self.fct_currency_deposits, self.cfg)
 
 
 def build(
@@ -57,20 +91,9 @@ def build(
     unknown = set(layers or ()) - set(LAYERS)
     if unknown:
         raise ValueError(f"unknown layers: {sorted(unknown)}")
-    deals = stage_deals(sources.deals)
-    fx_rates = stage_fx_rates(sources.fx_rates)
-    int_deals = to_sdr(deals, fx_rates)
-    fct = fact_deposits(int_deals)
-    models = {
-        "stg_deals": deals,
-        "stg_fx_rates": fx_rates,
-        "int_deals_with_sdr": int_deals,
-        **_dimensions(spark, int_deals, cfg),
-        "fct_currency_deposits": fct,
-        "mart_maturity_ladder": maturity_ladder(fct, cfg),
-    }
+    models = Models(spark, sources, cfg)
     return {
-        name: models[name]
+        name: getattr(models, name)
         for layer, names in LAYERS.items()
         if layers is None or layer in layers
         for name in names
@@ -93,18 +116,15 @@ def publish(
     the extracts are parsed and converted once, and a lost executor costs no more
     than the step at hand.
     """
-
-    def stored(name: str) -> DataFrame:
-        return spark.read.parquet(f"{out_dir}/{name}")
-
-    staged = build(spark, sources, cfg, layers={"intermediate"})
-    write_tables(staged, out_dir)
-    int_deals = stored("int_deals_with_sdr")
-    write_tables({"fct_currency_deposits": fact_deposits(int_deals)}, out_dir)
-    ladder = maturity_ladder(stored("fct_currency_deposits"), cfg)
-    write_tables(
-        {**_dimensions(spark, int_deals, cfg), "mart_maturity_ladder": ladder},
-        out_dir,
-        partition_by={"mart_maturity_ladder": "as_of_date"},
-    )
-    return {name: stored(name) for name in (*staged, *LAYERS["mart"])}
+    models = Models(spark, sources, cfg)
+    published = {}
+    for name in (*LAYERS["intermediate"], *LAYERS["mart"]):
+        write_tables(
+            {name: getattr(models, name)},
+            out_dir,
+            partition_by={"mart_maturity_ladder": "as_of_date"},
+        )
+        published[name] = spark.read.parquet(f"{out_dir}/{name}")
+        # What depends on this model from here on starts at the written table.
+        setattr(models, name, published[name])
+    return published

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from tenorbook.config import Config
 from tenorbook.operators import dimensions, exposure, ladder, quality, star
-from tenorbook.plans.build import build
+from tenorbook.operators.staging import stage_fx_rates
+from tenorbook.plans.build import Models
+from tenorbook.schemas import ORDER_TABLES
 from tenorbook.sources.files import Sources
 from tenorbook.sources.order_book import deals_from_orders, fx_from_month_ends
 
@@ -34,7 +36,9 @@ class Book:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(ORDER_TABLES[name]).parquet(
+            f"{self.folder}/{name}.parquet"
+        )
 
     @cached_property
     def sources(self) -> Sources:
@@ -47,11 +51,14 @@ class Book:
         )
 
     @cached_property
-    def models(self) -> dict[str, DataFrame]:
-        return build(self.spark, self.sources, BOOK_CONFIG)
+    def models(self) -> Models:
+        return Models(self.spark, self.sources, BOOK_CONFIG)
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self.models[name]
+        return getattr(self.models, name)
+
+    def pick(self, *names: str) -> dict[str, DataFrame]:
+        return {name: self[name] for name in names}
 
     @property
     def fct(self) -> DataFrame:
@@ -105,7 +112,8 @@ def _grain(b: Book) -> DataFrame:
 
 
 def _orphans(b: Book) -> DataFrame:
-    return quality.orphan_keys(b.fct, {**b.models, "dim_date": b.trading_calendar})
+    dims = b.pick("dim_counterparty", "dim_product", "dim_currency")
+    return quality.orphan_keys(b.fct, {**dims, "dim_date": b.trading_calendar})
 
 
 def _row_counts(b: Book) -> DataFrame:
@@ -144,9 +152,7 @@ QUERIES: dict[str, Callable[[Book], DataFrame]] = {
     "src_deals": lambda b: b.sources.deals,
     "src_fx_rates": lambda b: b.traded_fx_rates,
     "stg_deals": lambda b: b["stg_deals"],
-    "stg_fx_rates": lambda b: build(
-        b.spark, Sources(b.sources.deals, b.traded_fx_rates), BOOK_CONFIG
-    )["stg_fx_rates"],
+    "stg_fx_rates": lambda b: stage_fx_rates(b.traded_fx_rates),
     "int_deals_with_sdr": lambda b: b["int_deals_with_sdr"],
     # dimensions and fact
     "date_spine": lambda b: b.covered_days,
@@ -160,7 +166,7 @@ QUERIES: dict[str, Callable[[Book], DataFrame]] = {
     ),
     "dim_counterparty": lambda b: b["dim_counterparty"],
     "fct_currency_deposits": lambda b: b.fct,
-    "star_deposits": lambda b: star.star(b.fct, b.models),
+    "star_deposits": lambda b: star.star(b.fct, b.pick(*star.STAR_KEYS)),
     # maturity ladder
     "active_deals": lambda b: ladder.active_deals(b.fct, BOOK_CONFIG),
     "mart_maturity_ladder": lambda b: b["mart_maturity_ladder"],

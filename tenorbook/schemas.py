@@ -29,3 +29,14 @@ DEALS_RAW = _all_text(
 )
 
 FX_RAW = _all_text("rate_date", "currency_code", "sdr_per_unit")
+
+# Order tables that deals can be derived from. A stated schema saves reading file
+# footers on the driver before the first job.
+ORDER_TABLES = {
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string,"
+        " o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+}

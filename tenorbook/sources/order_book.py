@@ -8,9 +8,8 @@ downstream knows of them.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenorbook import fixed_values
@@ -23,19 +22,15 @@ _PORTFOLIOS = "TRSRY-EMEA TRSRY-AMER TRSRY-APAC TRSRY-EMEA TRSRY-INTL".split()
 _CURRENCIES = "USD EUR GBP JPY CNY CHF AUD CAD SGD KRW".split()
 
 
-def _pick(values: Sequence, position: Column) -> Column:
+def _pick(values: Sequence, position: str) -> str:
     """Entry at a 0-based position; NULL outside the list."""
-    return F.get(F.array(*[F.lit(v) for v in values]), position)
+    return f"get(array({', '.join(map(repr, values))}), cast({position} as int))"
 
 
-def _padded(number: Column, width: int) -> Column:
+def _padded(number: str, width: int) -> str:
     # lpad also truncates, which would merge keys that outgrow the width.
-    text = number.cast("string")
-    return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0"))
-
-
-def _clock(hour: Column, minute: Column, second: Column) -> Column:
-    return F.concat_ws(":", *[_padded(part, 2) for part in (hour, minute, second)])
+    text = f"cast({number} as string)"
+    return f"lpad({text}, greatest({width}, length({text})), '0')"
 
 
 def deals_from_orders(
@@ -49,67 +44,57 @@ def deals_from_orders(
     """
     parties = (
         customer.groupBy("c_custkey")
-        .agg(F.min(F.struct("c_name", "c_nationkey")).alias("party"))
-        .select("c_custkey", "party.c_name", "party.c_nationkey")
+        .agg(F.expr("min(struct(c_name, c_nationkey)) AS party"))
+        .selectExpr("c_custkey", "party.c_name", "party.c_nationkey")
+    )
+    nations = nation.groupBy("n_nationkey").agg(F.expr("min(n_regionkey) AS region"))
+    booked = orders.selectExpr(
+        "o_orderkey AS k",
+        "o_custkey",
+        "o_orderstatus",
+        "o_totalprice",
+        "cast(o_orderdate AS date) AS traded",
+        "o_orderpriority",
     )
-    nations = nation.groupBy("n_nationkey").agg(F.min("n_regionkey").alias("regionkey"))
-
-    k, cust = F.col("o_orderkey"), F.col("o_custkey")
-    traded = F.col("o_orderdate").cast("date")
-    valued = F.date_add(traded, 2)
-    deal_type = (
-        F.when(F.col("o_orderpriority") == "1-URGENT", "SIGHT_DEP")
-        .when(F.col("o_orderpriority") == "2-HIGH", "NOTICE_DEP")
-        .when(F.col("o_orderpriority") == "3-MEDIUM", "MTI_DEP")
-        .otherwise("FIXBIS_DEP")
+    valued = "date_add(traded, 2)"
+    product = (
+        "CASE o_orderpriority WHEN '1-URGENT' THEN 'SIGHT_DEP'"
+        " WHEN '2-HIGH' THEN 'NOTICE_DEP' WHEN '3-MEDIUM' THEN 'MTI_DEP'"
+        " ELSE 'FIXBIS_DEP' END"
     )
     term = (
-        F.when(deal_type == "NOTICE_DEP", _pick(fixed_values.NOTICE_DAYS, k % 4))
-        .when(deal_type == "MTI_DEP", 365 * (1 + k % 7))
-        .when(deal_type == "FIXBIS_DEP", _pick(fixed_values.FIXED_TERM_DAYS, k % 9))
-    ).cast("int")
-    maturity = F.coalesce(F.date_add(valued, term).cast("string"), F.lit(""))
-    rate = (k % 600).cast("decimal(5,0)") * F.lit(Decimal("0.01"))
-    status = (
-        F.when(k % 50 == 0, "CANCELLED")
-        .when(F.col("o_orderstatus") == "F", "MATURED")
-        .otherwise("VALIDATED")
+        "CASE o_orderpriority WHEN '1-URGENT' THEN NULL"
+        f" WHEN '2-HIGH' THEN {_pick(fixed_values.NOTICE_DAYS, 'k % 4')}"
+        " WHEN '3-MEDIUM' THEN cast(365 * (1 + k % 7) AS int)"
+        f" ELSE {_pick(fixed_values.FIXED_TERM_DAYS, 'k % 9')} END"
     )
-    booked = F.concat_ws(
-        " ", traded.cast("string"), _clock(7 + k % 11, k % 60, (7 * k) % 60)
+    rate = "cast(cast(k % 600 AS decimal(5,0)) * 0.01 AS decimal(10,4))"
+    clock = (
+        f"concat(cast(traded AS string), ' ', {_padded('7 + k % 11', 2)}, ':',"
+        f" {_padded('k % 60', 2)}, ':', {_padded('(7 * k) % 60', 2)})"
     )
     return (
-        orders.join(parties, cust == F.col("c_custkey"), "left")
-        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .select(
-            F.concat(
-                F.lit("FIN-"),
-                (F.year(traded) * 100 + F.month(traded)).cast("string"),
-                F.lit("-"),
-                _padded(k, 10),
-            ).alias("deal_id"),
-            deal_type.alias("deal_type"),
-            F.concat(F.lit("CP_"), _padded(cust, 10)).alias("cpty_code"),
-            F.col("c_name").alias("cpty_name"),
-            _pick(_COUNTRIES, F.col("c_nationkey")).alias("cpty_country"),
-            traded.cast("string").alias("trade_date"),
-            F.when(k % 1499 == 0, "2000-13-01")
-            .otherwise(valued.cast("string"))
-            .alias("value_date"),
-            maturity.alias("maturity_date"),
-            _pick(_CURRENCIES, cust % 10).alias("currency"),
-            F.col("o_totalprice")
-            .cast("decimal(20,2)")
-            .cast("string")
-            .alias("nominal_amount"),
-            F.when(k % 997 == 0, "n/a")
-            .otherwise(rate.cast("decimal(10,4)").cast("string"))
-            .alias("rate_pct"),
-            status.alias("deal_status"),
-            _pick(_PORTFOLIOS, F.col("regionkey")).alias("portfolio"),
-            F.concat(F.lit("BK-"), _padded(cust % 10 + 1, 3)).alias("book"),
-            booked.alias("created_dt"),
-            booked.alias("last_modified_dt"),
+        booked.join(parties, F.expr("o_custkey = c_custkey"), "left")
+        .join(nations, F.expr("c_nationkey = n_nationkey"), "left")
+        .selectExpr(
+            f"concat('FIN-', year(traded) * 100 + month(traded), '-', {_padded('k', 10)})"
+            " AS deal_id",
+            f"{product} AS deal_type",
+            f"concat('CP_', {_padded('o_custkey', 10)}) AS cpty_code",
+            "c_name AS cpty_name",
+            f"{_pick(_COUNTRIES, 'c_nationkey')} AS cpty_country",
+            "cast(traded AS string) AS trade_date",
+            f"if(k % 1499 = 0, '2000-13-01', cast({valued} AS string)) AS value_date",
+            f"coalesce(cast(date_add({valued}, {term}) AS string), '') AS maturity_date",
+            f"{_pick(_CURRENCIES, 'o_custkey % 10')} AS currency",
+            "cast(cast(o_totalprice AS decimal(20,2)) AS string) AS nominal_amount",
+            f"if(k % 997 = 0, 'n/a', cast({rate} AS string)) AS rate_pct",
+            "CASE WHEN k % 50 = 0 THEN 'CANCELLED' WHEN o_orderstatus = 'F' THEN 'MATURED'"
+            " ELSE 'VALIDATED' END AS deal_status",
+            f"{_pick(_PORTFOLIOS, 'region')} AS portfolio",
+            f"concat('BK-', {_padded('o_custkey % 10 + 1', 3)}) AS book",
+            f"{clock} AS created_dt",
+            f"{clock} AS last_modified_dt",
         )
     )
 
@@ -119,20 +104,14 @@ def fx_from_month_ends(month_ends: DataFrame) -> DataFrame:
 
     Each base rate moves through a seven-month cycle of up to three percent.
     """
-    basket = F.array(
-        *[
-            F.struct(
-                F.lit(code).alias("currency_code"),
-                F.lit(Decimal(rate)).cast("decimal(7,6)").alias("base"),
-            )
-            for code, rate in fixed_values.BASE_RATES
-        ]
+    basket = ", ".join(
+        f"struct('{code}' AS currency_code, cast({rate} AS decimal(7,6)) AS base)"
+        for code, rate in fixed_values.BASE_RATES
     )
-    month_number = F.year("as_of_date") * 12 + F.month("as_of_date") - 1
-    percent = (100 + month_number % 7 - 3).cast("decimal(5,0)")
-    rate = F.col("base") * percent * F.lit(Decimal("0.01"))
-    return month_ends.select("as_of_date", F.inline(basket)).select(
-        F.col("as_of_date").cast("string").alias("rate_date"),
+    months = "year(as_of_date) * 12 + month(as_of_date) - 1"
+    percent = f"cast(97 + ({months}) % 7 AS decimal(5,0))"
+    return month_ends.selectExpr("as_of_date", f"inline(array({basket}))").selectExpr(
+        "cast(as_of_date AS string) AS rate_date",
         "currency_code",
-        rate.cast("decimal(12,6)").cast("string").alias("sdr_per_unit"),
+        f"cast(cast(base * {percent} * 0.01 AS decimal(12,6)) AS string) AS sdr_per_unit",
     )

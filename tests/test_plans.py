@@ -1,0 +1,117 @@
+"""What the physical plans must and must not contain."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry_module
+from tenorbook.operators import dimensions, ladder
+from tenorbook.operators.conversion import to_sdr
+from tenorbook.operators.star import slice_by
+from tenorbook.plans.catalog import AS_OF, BOOK_CONFIG, Book
+from tenorbook.sources.files import write_tables
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def plan_of(frame) -> str:
+    query = frame._jdf.queryExecution()
+    return query.executedPlan().toString()
+
+
+def scan_of(frame) -> str:
+    """The formatted plan, whose scan entries are not cut short."""
+    mode = frame.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode
+    return frame._jdf.queryExecution().explainString(mode.fromString("formatted"))
+
+
+@pytest.mark.parametrize("name", entry_module.queries())
+def test_no_cross_join_no_python_no_collect(spark, name):
+    plan = plan_of(entry_module.queries()[name](spark, FOLDER))
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Arrow"):
+        assert operator not in plan
+    assert "FileScan parquet" in plan
+
+
+@pytest.mark.parametrize("name", [n for n in entry_module.queries() if n != "region_share"])
+def test_no_window_at_all(spark, name):
+    assert "Window" not in plan_of(entry_module.queries()[name](spark, FOLDER))
+
+
+def test_ladder_reads_orders_alone_and_moves_only_totals(spark):
+    plan = plan_of(entry_module.queries()["mart_maturity_ladder"](spark, FOLDER))
+    assert plan.count("FileScan parquet") == 1
+    assert "customer.parquet" not in plan
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert "BroadcastHashJoin" in plan
+    # The first shuffle sits above the partial aggregate of the maturity profile.
+    assert plan.index("partial_count") > plan.index("Exchange hashpartitioning")
+
+
+def test_counterparty_join_is_dropped_when_not_needed(spark):
+    book = Book(spark, FOLDER)
+    narrow = book["stg_deals"].select("deal_id", "value_date", "nominal_amount")
+    assert plan_of(narrow).count("FileScan parquet") == 1
+    assert "Join" not in plan_of(narrow)
+    wide = book["stg_deals"].select("deal_id", "portfolio")
+    assert plan_of(wide).count("FileScan parquet") == 3
+
+
+def test_counterparty_dimension_needs_no_rates(spark):
+    plan = plan_of(Book(spark, FOLDER)["dim_counterparty"])
+    assert "currency_code" not in plan
+
+
+def test_small_dimensions_are_broadcast_by_their_size(spark):
+    book = Book(spark, FOLDER)
+    plan = plan_of(book.fct.join(book["dim_currency"], "currency", "left"))
+    assert "SortMergeJoin" not in plan
+    assert "LocalTableScan" in plan
+
+
+def test_large_rate_feed_is_not_forced_into_a_broadcast(spark):
+    book = Book(spark, FOLDER)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(key, "-1")
+    try:
+        joined = to_sdr(book["stg_deals"], book["stg_fx_rates"])
+        assert "BroadcastHashJoin" not in plan_of(joined.select("nominal_amount_sdr"))
+        assert joined.count() == 1500
+    finally:
+        spark.conf.unset(key)
+
+
+def test_filters_reach_the_scan_of_a_published_fact(spark, tmp_path):
+    Book(spark, FOLDER).fct.write.parquet(f"{tmp_path}/fct")
+    fct = spark.read.parquet(f"{tmp_path}/fct")
+    scan = scan_of(ladder.deals_outstanding_at(fct, AS_OF, BOOK_CONFIG))
+    [pushed] = re.findall(r"PushedFilters: \[(.*)\]", scan)
+    assert "GreaterThan(maturity_date_key,20000630)" in pushed
+    assert "EqualTo(deal_status,VALIDATED)" in pushed
+    [columns] = re.findall(r"ReadSchema: struct<(.*)>", scan)
+    assert "portfolio" not in columns
+
+
+def test_published_ladder_is_pruned_by_date(spark, tmp_path):
+    write_tables(
+        {"ladder": Book(spark, FOLDER)["mart_maturity_ladder"]},
+        str(tmp_path),
+        {"ladder": "as_of_date"},
+    )
+    stored = spark.read.parquet(f"{tmp_path}/ladder")
+    scan = scan_of(slice_by(stored, as_of_date=AS_OF))
+    assert re.search(r"PartitionFilters: \[.*as_of_date", scan)
+
+
+def test_observed_spines_agree_with_the_configured_book(spark):
+    book = Book(spark, FOLDER)
+    assert book.traded_fx_rates.exceptAll(book.sources.fx_rates).count() == 0
+    assert book.sources.fx_rates.exceptAll(book.traded_fx_rates).count() == 0
+    assert book.covered_days.exceptAll(book["dim_date"].select("full_date")).count() == 0
+    bounds = dimensions.observed_bounds(
+        book["stg_deals"], F.col("trade_date"), F.col("trade_date")
+    )
+    assert dimensions.month_end_spine(bounds).count() == BOOK_CONFIG.as_of_months
