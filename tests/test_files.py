@@ -6,6 +6,7 @@ import pytest
 from book import raw_deals, raw_rates, rows_of
 
 from tenorbook import Config, Sources, build, publish, publish_views
+from tenorbook.__main__ import main
 from tenorbook.plans.build import LAYERS
 from tenorbook.schemas import DEALS_RAW
 from tenorbook.sources.files import load_raw, read_deals, write_csv
@@ -107,3 +108,13 @@ def test_publish_equals_lazy_models(spark, csv_dir, tmp_path):
         assert dict(published[name].dtypes) == dict(frame.dtypes)
     days = [d for d in os.listdir(f"{out}/mart_maturity_ladder") if d.startswith("as_of_date=")]
     assert len(days) == 3
+
+
+def test_command_line(spark, csv_dir, tmp_path, capsys):
+    main([csv_dir, f"{tmp_path}/cli", "--as-of-start", "2024-01-01", "--as-of-months", "1"])
+    assert "mart_maturity_ladder" in capsys.readouterr().out
+    ladder = spark.read.parquet(f"{tmp_path}/cli/mart_maturity_ladder")
+    assert sorted(rows_of(ladder, "maturity_bucket", "deal_count")) == [
+        ("1. Overnight", 1),
+        ("4. <= 3 Months", 1),
+    ]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_module
 from tenorbook.operators import dimensions, ladder
 from tenorbook.operators.conversion import to_sdr
-from tenorbook.operators.star import slice_by
+from tenorbook.operators.star import slice_by, star
 from tenorbook.plans.catalog import AS_OF, BOOK_CONFIG, Book
 from tenorbook.sources.files import write_tables
 
@@ -84,6 +84,43 @@ def test_large_rate_feed_is_not_forced_into_a_broadcast(spark):
         spark.conf.unset(key)
 
 
+def test_hot_keys_are_split_when_a_side_is_too_big_to_broadcast(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        # A third of the deals share one counterparty, currency and value date.
+        deals = spark.range(0, 60000, 1, 8).selectExpr(
+            "cast(id AS string) AS deal_id",
+            "'MTI_DEP' AS deal_type",
+            "if(id % 3 = 0, 'HOT', concat('C', id % 5003)) AS cpty_code",
+            "'USD' AS currency",
+        )
+        parties = spark.range(5003).selectExpr(
+            "concat('C', id) AS cpty_code", "'Europe' AS region"
+        )
+        hot = spark.range(1).selectExpr("'HOT' AS cpty_code", "'Africa' AS region")
+        dims = {
+            "dim_counterparty": parties.unionByName(hot),
+            "dim_product": dimensions.dim_product(spark),
+            "dim_currency": dimensions.dim_currency(spark),
+        }
+        joined = deals.join(dims["dim_counterparty"], "cpty_code", "left")
+        rows = joined.collect()
+        assert "skew=true" in plan_of(joined)
+        assert len(rows) == 60000
+        assert sum(row.region == "Africa" for row in rows) == 20000
+        assert star(deals, dims).filter("region IS NULL OR currency_name IS NULL").count() == 0
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
 def test_filters_reach_the_scan_of_a_published_fact(spark, tmp_path):
     Book(spark, FOLDER).fct.write.parquet(f"{tmp_path}/fct")
     fct = spark.read.parquet(f"{tmp_path}/fct")
