@@ -81,12 +81,17 @@ def write_tables(
     out_dir: str,
     partition_by: Mapping[str, str] | None = None,
 ) -> None:
-    """Each frame as a parquet table; a partitioned one gets one file per value."""
+    """Each frame as a parquet table.
+
+    A partitioned one is rebalanced on its column first: few files per value, and
+    adaptive execution splits a value too large for one task.
+    """
     for name, frame in frames.items():
         column = (partition_by or {}).get(name)
         if column is None:
             frame.write.mode("overwrite").parquet(f"{out_dir}/{name}")
         else:
-            frame.repartition(column).write.mode("overwrite").partitionBy(
-                column
-            ).parquet(f"{out_dir}/{name}")
+            balanced = frame.hint("rebalance", column)
+            balanced.write.mode("overwrite").partitionBy(column).parquet(
+                f"{out_dir}/{name}"
+            )

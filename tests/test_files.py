@@ -108,6 +108,9 @@ def test_publish_equals_lazy_models(spark, csv_dir, tmp_path):
         assert dict(published[name].dtypes) == dict(frame.dtypes)
     days = [d for d in os.listdir(f"{out}/mart_maturity_ladder") if d.startswith("as_of_date=")]
     assert len(days) == 3
+    for day in days:
+        files = os.listdir(f"{out}/mart_maturity_ladder/{day}")
+        assert len([f for f in files if f.endswith(".parquet")]) == 1
 
 
 def test_command_line(spark, csv_dir, tmp_path, capsys):

@@ -12,6 +12,7 @@ from tenorbook.operators import dimensions
 from tenorbook.operators.conversion import to_sdr
 from tenorbook.operators.fact import fact_deposits
 from tenorbook.operators.staging import stage_deals, stage_fx_rates
+from tenorbook.plans.catalog import Book
 from tenorbook.sources.order_book import deals_from_orders
 
 
@@ -212,3 +213,25 @@ def test_order_book_keeps_orphans_long_keys_and_repeated_customers(spark):
         ("FIN-199905-0000000003", None, None, None),
         ("FIN-199905-1234567890123", "Seven", "DE", "TRSRY-AMER"),
     ]
+
+
+@pytest.mark.parametrize(
+    ("scale", "expected"),
+    [
+        ("0.001", (1500, 986, 484, 30, 17, 2, 2, 56)),
+        ("0.01", (15000, 9862, 4838, 300, 186, 16, 11, 621)),
+    ],
+)
+def test_order_book_counts(spark, scale, expected):
+    deals = Book(spark, f"/root/testdata/sf{scale}")["int_deals_with_sdr"]
+    counts = deals.agg(
+        F.count("*"),
+        F.count_if(F.col("deal_status") == "VALIDATED"),
+        F.count_if(F.col("deal_status") == "MATURED"),
+        F.count_if(F.col("deal_status") == "CANCELLED"),
+        F.count_if(F.col("sdr_per_unit").isNull()),
+        F.count_if(F.col("rate_pct").isNull()),
+        F.count_if(F.col("value_date").isNull()),
+        F.count_if(F.col("cpty_country") == "ZZ"),
+    )
+    assert tuple(counts.first()) == expected
