@@ -90,20 +90,20 @@ src_fx_rates AS (
 _MODELS = """
 stg_deals AS (
   SELECT deal_id, deal_type, cpty_code, cpty_name, cpty_country,
-    try_cast(trade_date AS date) AS trade_date,
-    try_cast(value_date AS date) AS value_date,
-    try_cast(maturity_date AS date) AS maturity_date,
+    try_strptime(trade_date, '%Y-%m-%d')::date AS trade_date,
+    try_strptime(value_date, '%Y-%m-%d')::date AS value_date,
+    try_strptime(maturity_date, '%Y-%m-%d')::date AS maturity_date,
     currency,
     try_cast(nominal_amount AS decimal(20,2)) AS nominal_amount,
     try_cast(rate_pct AS decimal(10,6)) AS rate_pct,
     (try_cast(rate_pct AS decimal(10,6)) * 0.01)::decimal(16,11) AS rate_decimal,
     deal_status, portfolio, book,
-    try_cast(created_dt AS timestamp) AS created_dt,
-    try_cast(last_modified_dt AS timestamp) AS last_modified_dt
+    try_strptime(created_dt, '%Y-%m-%d %H:%M:%S') AS created_dt,
+    try_strptime(last_modified_dt, '%Y-%m-%d %H:%M:%S') AS last_modified_dt
   FROM src_deals
 ),
 stg_fx_rates AS (
-  SELECT try_cast(rate_date AS date) AS rate_date, currency_code,
+  SELECT try_strptime(rate_date, '%Y-%m-%d')::date AS rate_date, currency_code,
     try_cast(sdr_per_unit AS decimal(12,6)) AS sdr_per_unit
   FROM src_fx_rates
 ),
@@ -115,17 +115,14 @@ int_deals_with_sdr AS (
     d.created_dt, d.last_modified_dt
   FROM stg_deals d
   LEFT JOIN stg_fx_rates fx
-    ON fx.currency_code = d.currency
-    AND fx.rate_date = last_day((d.value_date - INTERVAL 1 MONTH)::date)
+    ON d.currency = fx.currency_code
+    AND date_trunc('month', d.value_date)::date - 1 = fx.rate_date
 ),
 fct_currency_deposits AS (
   SELECT deal_id, deal_type, cpty_code, currency,
-    (year(trade_date) * 10000 + month(trade_date) * 100 + day(trade_date))::int
-      AS trade_date_key,
-    (year(value_date) * 10000 + month(value_date) * 100 + day(value_date))::int
-      AS value_date_key,
-    (year(maturity_date) * 10000 + month(maturity_date) * 100 + day(maturity_date))::int
-      AS maturity_date_key,
+    strftime(trade_date, '%Y%m%d')::int AS trade_date_key,
+    strftime(value_date, '%Y%m%d')::int AS value_date_key,
+    strftime(maturity_date, '%Y%m%d')::int AS maturity_date_key,
     nominal_amount, nominal_amount_sdr, rate_pct, rate_decimal, deal_status, portfolio,
     book, fx_rate_date, sdr_per_unit, created_dt, last_modified_dt
   FROM int_deals_with_sdr
@@ -147,40 +144,37 @@ calendar_days AS (
   SELECT unnest(generate_series(DATE '1995-01-01', DATE '2008-12-31', INTERVAL 1 DAY))::date
     AS full_date
 ),
+fiscal_years AS (
+  SELECT make_date(y, 4, 1) AS first_day, make_date(y + 1, 3, 31) AS final_day,
+    printf('FY%d-%02d', y, (y + 1) % 100) AS fiscal_year
+  FROM range(1980, 2030) t(y)
+),
 fiscal_days AS (
-  SELECT (year(full_date) * 10000 + month(full_date) * 100 + day(full_date))::int AS date_key,
-    full_date,
-    CASE WHEN month(full_date) >= 4
-      THEN 'FY' || year(full_date) || '-' || right((year(full_date) + 1)::varchar, 2)
-      ELSE 'FY' || (year(full_date) - 1) || '-' || right(year(full_date)::varchar, 2)
-    END AS fiscal_year
-  FROM calendar_days
+  SELECT strftime(full_date, '%Y%m%d')::int AS date_key, full_date, fiscal_year
+  FROM calendar_days JOIN fiscal_years ON full_date BETWEEN first_day AND final_day
 ),
 active AS (
   SELECT deal_id, deal_type, nominal_amount_sdr, maturity_date_key,
-    make_date(maturity_date_key // 10000, (maturity_date_key // 100) % 100,
-      maturity_date_key % 100) AS maturity_date
+    strptime(maturity_date_key::varchar, '%Y%m%d')::date AS maturity_date
   FROM fct_currency_deposits WHERE deal_status = 'VALIDATED'
 ),
+term_buckets(above, up_to, label) AS (VALUES (0, 7, '2. <= 1 Week'),
+  (7, 30, '3. <= 1 Month'), (30, 90, '4. <= 3 Months'), (90, 180, '5. <= 6 Months'),
+  (180, 365, '6. <= 1 Year'), (365, 99999999, '7. > 1 Year')),
+as_of_dates AS (
+  SELECT last_day(DATE '1995-01-01' + to_months(i::int)) AS as_of_date
+  FROM range(80) t(i)
+),
 exposed AS (
-  SELECT *,
-    CASE WHEN deal_type = 'SIGHT_DEP' THEN '1. Overnight'
-      WHEN days_to_maturity <= 7 THEN '2. <= 1 Week'
-      WHEN days_to_maturity <= 30 THEN '3. <= 1 Month'
-      WHEN days_to_maturity <= 90 THEN '4. <= 3 Months'
-      WHEN days_to_maturity <= 180 THEN '5. <= 6 Months'
-      WHEN days_to_maturity <= 365 THEN '6. <= 1 Year'
-      ELSE '7. > 1 Year' END AS maturity_bucket
-  FROM (
-    SELECT a.*, as_of_date,
-      date_diff('day', as_of_date, maturity_date)::int AS days_to_maturity
-    FROM active a
-    CROSS JOIN (
-      SELECT last_day(DATE '1995-01-01' + to_months(i::int)) AS as_of_date
-      FROM range(80) t(i)
-    )
-  )
-  WHERE days_to_maturity > 0 OR deal_type = 'SIGHT_DEP'
+  SELECT a.*, as_of_date, (maturity_date - as_of_date)::int AS days_to_maturity,
+    '1. Overnight' AS maturity_bucket
+  FROM active a CROSS JOIN as_of_dates WHERE deal_type = 'SIGHT_DEP'
+  UNION ALL
+  SELECT a.*, as_of_date, (maturity_date - as_of_date)::int, label
+  FROM active a CROSS JOIN as_of_dates
+  JOIN term_buckets ON maturity_date - as_of_date > above
+    AND maturity_date - as_of_date <= up_to
+  WHERE deal_type <> 'SIGHT_DEP'
 ),
 ladder AS (
   SELECT as_of_date, maturity_bucket, count(*) AS deal_count,
@@ -265,21 +259,15 @@ _QUERIES = {
     "date_spine": "SELECT full_date FROM covered_days",
     "month_end_spine": "SELECT month_end AS as_of_date FROM month_ends",
     "dim_date": """
-      SELECT (year(full_date) * 10000 + month(full_date) * 100 + day(full_date))::int
-          AS date_key,
+      SELECT strftime(full_date, '%Y%m%d')::int AS date_key,
         full_date,
-        year(full_date)::int AS year,
-        month(full_date)::int AS month_num,
-        monthname(full_date) AS month_name,
-        quarter(full_date)::int AS quarter,
-        CASE WHEN month(full_date) >= 4
-          THEN 'FY' || year(full_date) || '-' || right((year(full_date) + 1)::varchar, 2)
-          ELSE 'FY' || (year(full_date) - 1) || '-' || right(year(full_date)::varchar, 2)
-        END AS fiscal_year,
-        'FQ' || CASE WHEN month(full_date) IN (4, 5, 6) THEN 1
-          WHEN month(full_date) IN (7, 8, 9) THEN 2
-          WHEN month(full_date) IN (10, 11, 12) THEN 3 ELSE 4 END AS fiscal_quarter
-      FROM covered_days""",
+        date_part('year', full_date)::int AS year,
+        date_part('month', full_date)::int AS month_num,
+        strftime(full_date, '%B') AS month_name,
+        date_part('quarter', full_date)::int AS quarter,
+        fiscal_year,
+        'FQ' || (date_diff('month', first_day, full_date) // 3 + 1) AS fiscal_quarter
+      FROM covered_days JOIN fiscal_years ON full_date BETWEEN first_day AND final_day""",
     "dim_currency": """
       SELECT c.*, count(deal_id) AS deal_count
       FROM currencies c LEFT JOIN fct_currency_deposits f USING (currency) GROUP BY ALL""",
