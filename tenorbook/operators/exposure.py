@@ -154,8 +154,36 @@ def cost_of_funds_by_currency(
     )
 
 
-def top_counterparties(counterparty_exposure: DataFrame, k: int = 10) -> DataFrame:
-    """The k largest depositors; ties are broken by code."""
-    return counterparty_exposure.orderBy(
-        F.desc_nulls_last("total_sdr"), "cpty_code"
-    ).limit(k)
+def top_counterparties(
+    fct: DataFrame,
+    counterparties: DataFrame,
+    k: int = 10,
+    status: str | None = ACTIVE,
+) -> DataFrame:
+    """The k largest depositors; ties are broken by code, name and country.
+
+    The ranking is made on the totals. The dimension is then reduced to the ranked
+    codes by a semi join, which Spark carries below the distinct behind it, so the
+    names of all other counterparties are never shuffled.
+    """
+    largest_first = (F.desc_nulls_last("total_sdr"), F.col("cpty_code"))
+    ranked = (
+        book_totals(fct, "cpty_code", status=status).orderBy(*largest_first).limit(k)
+    )
+    # The filter passes every row. Naming both totals keeps the two uses of the
+    # ranking alike, so that the book is totalled once and its shuffle reused.
+    codes = ranked.filter("deal_count > 0").select("cpty_code")
+    named = counterparties.join(codes, "cpty_code", "left_semi")
+    return (
+        ranked.join(named, "cpty_code", "left")
+        .select(
+            "cpty_code",
+            "cpty_name",
+            "cpty_country",
+            "region",
+            "deal_count",
+            "total_sdr",
+        )
+        .orderBy(*largest_first, "cpty_name", "cpty_country")
+        .limit(k)
+    )

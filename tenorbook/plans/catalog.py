@@ -133,10 +133,6 @@ def _by_fiscal_year(role: str) -> Callable[[Book], DataFrame]:
     )
 
 
-def _by_counterparty(b: Book) -> DataFrame:
-    return exposure.exposure_by_counterparty(b.fct, b["dim_counterparty"])
-
-
 def _by_region(b: Book) -> DataFrame:
     return exposure.exposure_by_region(b.fct, b["dim_counterparty"])
 
@@ -189,8 +185,12 @@ QUERIES: dict[str, Callable[[Book], DataFrame]] = {
         b.fct, b["dim_product"]
     ),
     "exposure_by_portfolio": lambda b: exposure.exposure_by_portfolio(b.fct),
-    "exposure_by_counterparty": _by_counterparty,
-    "top_counterparties": lambda b: exposure.top_counterparties(_by_counterparty(b)),
+    "exposure_by_counterparty": lambda b: exposure.exposure_by_counterparty(
+        b.fct, b["dim_counterparty"]
+    ),
+    "top_counterparties": lambda b: exposure.top_counterparties(
+        b.fct, b["dim_counterparty"]
+    ),
     "exposure_sdr_basket": lambda b: exposure.exposure_sdr_basket(
         b.fct, b["dim_currency"]
     ),

@@ -97,15 +97,28 @@ def test_fiscal_year_roles(models):
 
 
 def test_top_k(models):
-    ranked = exposure.top_counterparties(
-        exposure.exposure_by_counterparty(fct(models), models.dim_counterparty), 2
-    )
-    assert rows_of(ranked, "cpty_code", "total_sdr") == [
-        ("PBOC_01", Decimal(200)),
-        ("SNB_01", Decimal(120)),
+    ranked = exposure.top_counterparties(fct(models), models.dim_counterparty, 2)
+    assert rows_of(ranked, "cpty_code", "cpty_name", "total_sdr") == [
+        ("PBOC_01", "People's Bank of China", Decimal(200)),
+        ("SNB_01", "Swiss National Bank", Decimal(120)),
     ]
 
 
+def test_top_k_equals_a_cut_of_the_whole_report(spark, models):
+    # Two names for one code, a code without a dimension row, and a tie.
+    parties = models.dim_counterparty.unionByName(
+        models.dim_counterparty.filter("cpty_code = 'PBOC_01'").withColumn(
+            "cpty_name", F.lit("Another name")
+        )
+    ).filter("cpty_code <> 'Z'")
+    whole = exposure.exposure_by_counterparty(fct(models), parties).orderBy(
+        F.desc_nulls_last("total_sdr"), "cpty_code", "cpty_name"
+    )
+    for k in (1, 2, 3, 4, 9):
+        ranked = exposure.top_counterparties(fct(models), parties, k)
+        assert rows_of(ranked, "*") == rows_of(whole, "*")[:k]
+
+
 def test_every_report_adds_up_to_the_same_total(models):
     f, m = fct(models), models
     reports = [
@@ -152,6 +165,6 @@ def test_hot_counterparty_totals(spark):
     assert rows_of(exposure.exposure_by_region(frame, parties), "*") == [
         ("Asia-Pacific", 30000, Decimal(30000))
     ]
-    top = exposure.top_counterparties(exposure.exposure_by_counterparty(frame, parties), 1)
+    top = exposure.top_counterparties(frame, parties, 1)
     assert rows_of(top, "cpty_code", "deal_count") == [("HOT", 10000)]
     assert dimensions.dim_counterparty(parties).count() == 998

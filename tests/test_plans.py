@@ -60,6 +60,16 @@ def test_counterparty_join_is_dropped_when_not_needed(spark):
     assert plan_of(wide).count("FileScan parquet") == 3
 
 
+def test_top_k_names_only_the_ranked_and_totals_once(spark):
+    result = entry_module.queries()["top_counterparties"](spark, FOLDER)
+    plan = plan_of(result)
+    assert plan.count("TakeOrderedAndProject") == 3
+    # Read downwards: the distinct of names sits above the semi join.
+    assert plan.index("keys=[cpty_code#", plan.index("LeftOuter")) < plan.index("LeftSemi")
+    result.collect()
+    assert re.search(r"ReusedExchange.*Exchange hashpartitioning\(cpty_code", plan_of(result))
+
+
 def test_counterparty_dimension_needs_no_rates(spark):
     plan = plan_of(Book(spark, FOLDER)["dim_counterparty"])
     assert "currency_code" not in plan
