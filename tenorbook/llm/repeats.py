@@ -7,13 +7,14 @@ occurs nowhere else, none is. The ranges in between (at the ends of repeated pas
 together with one representative of every settled range that they may meet. At single windows nothing is left.
 
 All steps are counts by name, which Spark combines before the shuffle, and joins with stored tables, which it can split;
-no group of equal names is ever gathered in a task. Names that decide (`c`) have 128 bits.
+no group of equal names is ever gathered in a task. Decisions rest on both names, 128 bits.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ _KEY = ["doc_id", "text_hash"]
 
 
 def row_schema(kind: DataType) -> str:
-    return f"a long, c1 long, c2 long, doc_id {kind.simpleString()}, text_hash long, lo int, hi int, asks boolean"
+    return f"a long, c long, doc_id {kind.simpleString()}, at long"
 
 
 def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -33,6 +34,21 @@ def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
 
 
+def _at(text_hash: np.ndarray, lo: np.ndarray, hi: np.ndarray, asks: np.ndarray) -> np.ndarray:
+    """One number for where a range is: asks (1 bit), text hash (23), length (8), begin (32). Shuffled rows stay short.
+
+    The hash only tells texts with one id apart.
+    """
+    return (asks.astype(np.int64) << 63) | ((text_hash & 0x7FFFFF) << 40) | ((hi - lo) << 32) | lo
+
+
+def placed(rows: DataFrame) -> DataFrame:
+    """doc_id, text_hash, lo, hi, asks of rows with `at`."""
+    lo, length = F.col("at").bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned("at", 32).bitwiseAND(0xFF)
+    text_hash = F.shiftrightunsigned("at", 40).bitwiseAND(0x7FFFFF)
+    return rows.select("doc_id", text_hash.alias("text_hash"), lo.alias("lo"), (lo + length).alias("hi"), (F.col("at") < 0).alias("asks"))
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """Keyed rows with the text compressed for a shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,7 +77,7 @@ def unpacked(batch: pa.RecordBatch, most: int = 1 << 21) -> Iterator[tuple[pa.Re
 
 
 def _same(left: DataFrame, right: DataFrame) -> Column:
-    return left["doc_id"].eqNullSafe(right["_id"]) & (left["text_hash"] == right["_hash"])
+    return left["doc_id"].eqNullSafe(right["_id"]) & (left["text_hash"].bitwiseAND(0x7FFFFF) == right["_hash"])
 
 
 def with_ranges(docs: DataFrame, ranges: DataFrame, how: str) -> DataFrame:
@@ -73,46 +89,49 @@ def with_ranges(docs: DataFrame, ranges: DataFrame, how: str) -> DataFrame:
 
 
 def settle(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(marks, rest): ranges all of whose windows are repeated, and ranges to be cut smaller."""
-    rows = stored(rows)
-    twice = rows.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.max("asks").alias("any")).filter("n > 1 and any").select(F.col("a").alias("_a"))
+    """(marks, rest): ranges all of whose windows are repeated, and ranges to be cut smaller.
+
+    A range has the 128-bit name (a, c). Rows are used twice; a scan is cheaper to repeat than to store.
+    """
+    asks = F.col("at") < 0
+    twice = rows.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.max(asks).alias("any")).filter("n > 1 and any").select(F.col("a").alias("_a"))
     twice = stored(twice)
     met = stored(rows.join(twice, F.col("a") == F.col("_a")).drop("_a"))
-    one = F.min(F.struct("doc_id", "text_hash", "lo", "hi")).alias("one")
-    whole = met.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("n"), F.first("a").alias("of"), one).filter("n > 1")
-    whole = stored(whole.select(F.col("c1").alias("_1"), F.col("c2").alias("_2"), "of", "one"))
-    found = stored(met.join(whole.select("_1", "_2"), (F.col("c1") == F.col("_1")) & (F.col("c2") == F.col("_2")), "left"))
-    marks = found.filter("_1 is not null and asks").select(*_KEY, "lo", "hi", "asks")
-    left = found.filter("_1 is null").select("a", *_KEY, "lo", "hi", "asks")
-    open_ = stored(left.filter("asks").select(F.col("a").alias("_a")).distinct())
-    others = left.filter("not asks").unionByName(whole.select(F.col("of").alias("a"), "one.*", F.lit(False).alias("asks")))
+    whole = met.groupBy("a", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "at")).alias("one")).filter("n > 1")
+    whole = stored(whole.select(F.col("a").alias("_a"), F.col("c").alias("_c"), "one"))
+    found = stored(met.join(whole.select("_a", "_c"), (F.col("a") == F.col("_a")) & (F.col("c") == F.col("_c")), "left"))
+    marks = placed(found.filter(F.col("_a").isNotNull() & asks))
+    left = found.filter("_a is null").select("a", "doc_id", "at")
+    open_ = stored(left.filter(asks).select(F.col("a").alias("_a")).distinct())
+    quiet = F.col("at").bitwiseAND((1 << 63) - 1).alias("at")
+    others = left.filter(~asks).unionByName(whole.select(F.col("_a").alias("a"), "one.doc_id", "one.at").select("a", "doc_id", quiet))
     others = others.join(open_, F.col("a") == F.col("_a"), "left_semi")
-    return marks, left.filter("asks").unionByName(others).select(*_KEY, "lo", "hi", "asks")
+    return marks, placed(left.filter(asks).unionByName(others))
 
 
 def settle_windows(rows: DataFrame) -> DataFrame:
-    """The marks among ranges of one window each, named by `c1` and `c2`."""
+    """The marks among ranges of one window each, with the 128-bit name (a, c)."""
+    asks = F.col("at") < 0
     rows = stored(rows)
-    twice = rows.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("n"), F.max("asks").alias("any")).filter("n > 1 and any")
-    twice = stored(twice.select(F.col("c1").alias("_1"), F.col("c2").alias("_2")))
-    met = rows.filter("asks").join(twice, (F.col("c1") == F.col("_1")) & (F.col("c2") == F.col("_2")))
-    return met.select(*_KEY, "lo", "hi", "asks")
+    twice = rows.groupBy("a", "c").agg(F.count(F.lit(1)).alias("n"), F.max(asks).alias("any")).filter("n > 1 and any")
+    twice = stored(twice.select(F.col("a").alias("_a"), F.col("c").alias("_c")))
+    return placed(rows.filter(asks).join(twice, (F.col("a") == F.col("_a")) & (F.col("c") == F.col("_c"))))
 
 
 def scan(docs: DataFrame, cut: Callable[[pa.Array], tuple], kind: DataType) -> DataFrame:
-    """Ranges of all texts; `cut` gives (text, a, c1, c2, lo, hi) arrays for an array of texts."""
+    """Ranges of all texts; `cut` gives (text, a, c, lo, hi) arrays for an array of texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
                 of, *names, lo, hi = cut(part.column("text"))
-                yield _out(part, of, names, lo, hi, None)
+                yield _out(part, of, names, lo, hi, np.ones(len(of), bool))
 
     return docs.mapInArrow(run, row_schema(kind))
 
 
 def rescan(rows: DataFrame, cut: Callable[[pa.Array, list], tuple], kind: DataType) -> DataFrame:
-    """Smaller ranges of listed ones; `cut` gives (text, a, c1, c2, lo, hi, asks) arrays for texts and their lists of ranges."""
+    """Smaller ranges of listed ones; `cut` gives (text, a, c, lo, hi, asks) arrays for texts and their lists of ranges."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,7 +142,7 @@ def rescan(rows: DataFrame, cut: Callable[[pa.Array, list], tuple], kind: DataTy
     return rows.mapInArrow(run, row_schema(kind))
 
 
-def _out(part: pa.RecordBatch, of, names, lo, hi, asks) -> pa.RecordBatch:
-    at = pa.array(of)
-    columns = [*[pa.array(x.view("int64")) for x in names], part.column("doc_id").take(at), part.column("text_hash").take(at), pa.array(lo, pa.int32()), pa.array(hi, pa.int32())]
-    return pa.RecordBatch.from_arrays([*columns, pa.array([True] * len(of) if asks is None else asks, pa.bool_())], ["a", "c1", "c2", *_KEY, "lo", "hi", "asks"])
+def _out(part: pa.RecordBatch, of: np.ndarray, names: list[np.ndarray], lo: np.ndarray, hi: np.ndarray, asks: np.ndarray) -> pa.RecordBatch:
+    at = _at(part.column("text_hash").to_numpy()[of], lo, hi, asks)
+    a, c = (pa.array(x.view("int64")) for x in names)
+    return pa.RecordBatch.from_arrays([a, c, part.column("doc_id").take(pa.array(of)), pa.array(at)], ["a", "c", "doc_id", "at"])

@@ -7,9 +7,9 @@ to a stretch depends on the stretch alone but for its ends: an outer run may go
 symbol may pair with a neighbour. With these popped in every round, the symbols inside a window are the same
 wherever the window occurs.
 
-A window is known by the first inner symbol of the highest round that leaves one near its begin. All windows
-known by one occurrence of a symbol form a range, named by the symbol with the words that follow it (in every
-window of the range) and by all words of the range. `repeats` settles ranges that share high-level symbols, and
+A window is known by the least-named of its inner symbols of the last round that begin near its begin, or, if a round
+leaves none there, by the first one of the round before. All windows known by one occurrence of a symbol form a
+range, named by the symbol with the words that follow it (in every window of the range) and by all words of the range. `repeats` settles ranges that share high-level symbols, and
 verifies the rest window by window, by 128-bit names of their words.
 
 Every occurrence is removed, also the first; a window is `window` words of one text. Null and empty texts have no words. Rows with
@@ -32,9 +32,9 @@ from tenorbook.llm.common import Rolling, Words, mixed, stored
 
 WINDOW = 35
 #: True: run round, False: pair round.
-ROUNDS = (True, False, True, False, False, False, False)
-#: The first inner symbol begins so many words after the window at most.
-LEAD = 15
+ROUNDS = (True, False, False)
+#: A window's symbol begins so many words after the window at most.
+LEAD = 20
 _ONE, _TWO = 0x9E6C63D0876A9A63, 0xC2B2AE3D27D4EB4F
 _PART = 1 << 18
 
@@ -73,14 +73,31 @@ def _anchors(names: np.ndarray, doc: np.ndarray, starts: np.ndarray, window: int
         alive, low, high = alive[fine], low[fine], high[fine]
         if not len(alive):
             break
-        first[begin] = np.arange(len(begin))
+        first[begin], last[end] = np.arange(len(begin)), np.arange(len(begin))
         place[alive], level[alive], known[alive] = low, k, name[first[low]]
+    else:
+        upto = np.searchsorted(begin, starts[alive] + LEAD, "right") - 1
+        least = _least(mixed(name), first[low], np.minimum(upto, last[high]))
+        place[alive], known[alive] = begin[least], name[least]
     return place, level, known
 
 
+def _least(keys: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Where the least of keys[low..high] is, the first one of equals; for stretches shorter than 32."""
+    number = np.uint64((1 << 24) - 1)
+    keys = (keys & ~number) | np.arange(len(keys), dtype=np.uint64)
+    size, out = high - low + 1, np.empty(len(low), np.int64)
+    for k in range(5):
+        own = np.flatnonzero((size >> k) == 1)
+        if len(own):
+            out[own] = (np.minimum(keys[low[own]], keys[high[own] - (1 << k) + 1]) & number).astype(np.int64)
+        keys = np.minimum(keys, np.r_[keys[1 << k :], keys[max(len(keys) - (1 << k), 0) :]][: len(keys)])
+    return out
+
+
 def _cut(window: int, texts: pa.Array) -> tuple:
     words = Words(texts)
-    one, two = words.hashes(0), words.hashes(1)
+    one = words.hashes()
     doc = np.repeat(np.arange(len(words.counts)), words.counts)
     out: list[tuple] = []
     for at in range(0, max(len(one) - window + 1, 0), _PART):
@@ -95,12 +112,12 @@ def _cut(window: int, texts: pa.Array) -> tuple:
         tails = np.r_[heads[1:] - 1, len(starts) - 1]
         lo, hi, s = starts[heads], starts[tails], place[heads]
         shape = mixed((s - lo).astype(np.uint64) * np.uint64(1 << 20) + (hi - lo).astype(np.uint64) * np.uint64(64) + level[heads].astype(np.uint64))
-        r1, r2 = Rolling(own, _ONE), Rolling(two[part], _TWO)
-        a = mixed(known[heads] + level[heads].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ r1.of(s, s + window - LEAD))
+        rolling = Rolling(own, _ONE)
+        a = mixed(known[heads] + level[heads].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ rolling.of(s, s + window - LEAD))
         base = at - words.upto[of[lo]]
-        out.append((of[lo], a, mixed(r1.of(lo, hi + window) + shape), mixed(r2.of(lo, hi + window) + shape), lo + base, hi + base))
+        out.append((of[lo], a, mixed(rolling.of(lo, hi + window) + shape), lo + base, hi + base))
     none = np.zeros(0, np.int64)
-    return tuple(map(np.concatenate, zip(*out, strict=True))) if out else (none, *[none.view(np.uint64)] * 3, none, none)
+    return tuple(map(np.concatenate, zip(*out, strict=True))) if out else (none, *[none.view(np.uint64)] * 2, none, none)
 
 
 def expand(ranges: list, size: int = 1) -> tuple[np.ndarray, ...]:
@@ -124,7 +141,7 @@ def _windows(window: int, texts: pa.Array, ranges: list) -> tuple:
     row, start = every(lo, hi)
     begin = words.upto[of[row]] + start
     c1, c2 = r1.of(begin, begin + window), r2.of(begin, begin + window)
-    return of[row], c1, c1, c2, start, start, asks[row]
+    return of[row], c1, c2, start, start, asks[row]
 
 
 def marks(docs: DataFrame, window: int = WINDOW) -> DataFrame:

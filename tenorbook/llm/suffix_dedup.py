@@ -31,7 +31,7 @@ WINDOW = 400
 GRAM, BLOCK = 16, 16
 #: Depth of the multikey quicksort, in bytes, and the group size below which suffixes are compared directly.
 SHALLOW, SMALL = 32, 8
-_ONE, _TWO = 0x9E6C63D0876A9A63, 0xC2B2AE3D27D4EB4F
+_ONE = 0x9E6C63D0876A9A63
 _PART, _POSITION = 1 << 20, np.uint64((1 << 24) - 1)
 
 
@@ -47,8 +47,8 @@ def _sliding_least(keys: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(after[:n], before[width - 1 : width - 1 + n])
 
 
-def _rolls(data: np.ndarray) -> tuple[Rolling, Rolling]:
-    return Rolling(BYTE_VALUES[0][data], _ONE), Rolling(BYTE_VALUES[1][data], _TWO)
+def _rolling(data: np.ndarray) -> Rolling:
+    return Rolling(BYTE_VALUES[0][data], _ONE)
 
 
 def _number(x: np.ndarray) -> np.ndarray:
@@ -65,40 +65,39 @@ def _cut(window: int, texts: pa.Array) -> tuple:
         fits = np.arange(at + window, at + window + len(doc)) <= offsets[doc + 1]
         if not fits.any():
             continue
-        r1, r2 = _rolls(own)
+        rolling = _rolling(own)
         p = np.arange(len(own) - GRAM + 1)
-        keys = (r1.of(p, p + GRAM) & ~_POSITION) | _number(p)
+        keys = (rolling.of(p, p + GRAM) & ~_POSITION) | _number(p)
         starts = np.flatnonzero(fits)
         place = (_sliding_least(keys, half + 1)[starts] & _POSITION).astype(np.int64)
         heads = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (np.diff(starts) != 1)])
         lo, hi, s = starts[heads], starts[np.r_[heads[1:] - 1, len(starts) - 1]], place[heads]
         shape = mixed(_number(s - lo) * np.uint64(1 << 20) + _number(hi - lo))
         base = at - offsets[doc[lo]]
-        out.append((doc[lo], r1.of(s, s + half), mixed(r1.of(lo, hi + window) + shape), mixed(r2.of(lo, hi + window) + shape), lo + base, hi + base))
+        out.append((doc[lo], rolling.of(s, s + half), mixed(rolling.of(lo, hi + window) + shape), lo + base, hi + base))
     none = np.zeros(0, np.int64)
-    return tuple(map(np.concatenate, zip(*out, strict=True))) if out else (none, *[none.view(np.uint64)] * 3, none, none)
+    return tuple(map(np.concatenate, zip(*out, strict=True))) if out else (none, *[none.view(np.uint64)] * 2, none, none)
 
 
 def _blocks(window: int, texts: pa.Array, ranges: list) -> tuple:
     """Blocks of each range. They are laid out from the anchor, which is the same place wherever the windows occur."""
     data, offsets = flat(texts)
-    r1, r2 = _rolls(data)
+    rolling = _rolling(data)
     half = window // 2
     of, lo, hi, asks = expand(ranges)
     base = offsets[of]
     p = np.arange(max(len(data) - GRAM + 1, 0))
-    keys = r1.of(p, p + GRAM) & ~_POSITION
+    keys = rolling.of(p, p + GRAM) & ~_POSITION
     anchor = np.array([b + x + int(np.argmin(keys[b + x : b + x + half + 1])) for b, x in zip(base.tolist(), hi.tolist(), strict=True)], np.int64) - base
     far, near = (anchor - lo) // BLOCK, (anchor - hi) // BLOCK
     row, block = every(near, far)
     begin = np.maximum(anchor[row] - (block + 1) * BLOCK + 1, lo[row])
     end = np.minimum(anchor[row] - block * BLOCK, hi[row])
     at = base[row]
-    inner = r1.of(at + np.maximum(anchor[row] - block * BLOCK, 0), at + anchor[row] - (block + 1) * BLOCK + 1 + window)
+    inner = rolling.of(at + np.maximum(anchor[row] - block * BLOCK, 0), at + anchor[row] - (block + 1) * BLOCK + 1 + window)
     a = mixed(inner + _number(block))
     shape = mixed(_number(anchor[row] - begin) * np.uint64(1 << 20) + _number(end - begin))
-    c1, c2 = r1.of(at + begin, at + end + window), r2.of(at + begin, at + end + window)
-    return of[row], a, mixed(c1 + shape), mixed(c2 + shape), begin, end, asks[row]
+    return of[row], a, mixed(rolling.of(at + begin, at + end + window) + shape), begin, end, asks[row]
 
 
 class _Trie:
@@ -181,11 +180,13 @@ def _windows(window: int, texts: pa.Array, ranges: list) -> tuple:
         name = np.frombuffer(hashlib.blake2b(raw[suffixes[0] : suffixes[0] + window], digest_size=16).digest(), np.uint64)
         names[np.searchsorted(unique, suffixes)] = name
     names = names[back]
-    return of[row], names[:, 0].copy(), names[:, 0].copy(), names[:, 1].copy(), start, start, asks[row]
+    return of[row], names[:, 0].copy(), names[:, 1].copy(), start, start, asks[row]
 
 
 def marks(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """Ranges (lo, hi) of starts of repeated windows, by doc_id and text_hash, for keyed rows."""
+    if not 64 <= window <= 510:
+        raise ValueError("a window has 64 to 510 bytes")
     kind = docs.schema["doc_id"].dataType
     whole, rest = repeats.settle(repeats.scan(docs, lambda texts: _cut(window, texts), kind))
     blocks = repeats.rescan(repeats.with_ranges(docs, rest, "inner"), lambda texts, ranges: _blocks(window, texts, ranges), kind)
