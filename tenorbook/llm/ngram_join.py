@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from tenorbook.llm.common import Rolling, Words, mixed, pieces, stored
 from tenorbook.llm.graph import components
+from tenorbook.llm.repeats import packed, unpacked
 
 BANDS, ROWS = 24, 4
 HASHES = BANDS * ROWS
@@ -95,8 +96,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _heavy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Members with their signatures and shingles; rows whose text is not the member's are left out."""
     for batch in batches:
-        for piece in pieces(batch, "text"):
-            values, offsets = shingles(piece.column("text"))
+        for piece, texts in unpacked(batch):
+            values, offsets = shingles(texts)
             one, two = _sums(values, offsets)
             signature = signatures(values, offsets)
             keep = np.flatnonzero((one == piece.column("h1").to_numpy()) & (two == piece.column("h2").to_numpy()))
@@ -171,14 +172,18 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: fl
     classes = stored(classes.withColumn("cid", F.monotonically_increasing_id()))
     shared = classes.select("cid", F.explode("bands").alias("band"))
     firsts = stored(shared.groupBy("band").agg(F.min("cid").alias("first"), F.max("cid").alias("last")).filter("first < last").select("band", "first"))
-    edges = shared.join(firsts, "band").filter("cid <> first").select(F.col("cid").alias("a"), F.col("first").alias("b"))
-    groups = components(edges)
+    met = shared.join(firsts, "band").groupBy("cid").agg(F.min("first").alias("least"), F.collect_set("first").alias("firsts"))
+    met = stored(met)  # a class is linked to the least of its bands' classes; the others, few and shared, to that one
+    among = met.select(F.explode("firsts").alias("a"), F.col("least").alias("b")).distinct()
+    groups = components(met.select(F.col("cid").alias("a"), F.col("least").alias("b")).unionByName(among))
 
     members = groups.join(classes.drop("bands"), F.col("node") == F.col("cid")).select("cid", "copies", "least", "h1", "h2", "n", F.col("label").alias("group"))
     members = stored(members)
     blocks = stored(members.groupBy("group").agg(F.ceil(F.sum("n") / block_shingles).cast("int").alias("blocks")))
     members = stored(members.join(blocks, "group"))
-    heavy = rows.join(members, rows["doc_id"].eqNullSafe(members["least"])).mapInArrow(
+    # a merge join at every size, as the members grow with the corpus; texts are compressed for its shuffle
+    keyed = packed(rows.withColumn("text_hash", F.xxhash64("text")))
+    heavy = keyed.hint("merge").join(members, keyed["doc_id"].eqNullSafe(members["least"])).mapInArrow(
         _heavy, "group long, blocks int, cid long, copies long, signature binary, shingles binary"
     )
     own = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
