@@ -8,6 +8,10 @@ from dataclasses import dataclass
 from tenorbook import fixed_values
 
 
+#: Type of a staged rate.
+RATE_TYPE = "decimal(12,6)"
+
+
 @dataclass(frozen=True)
 class Config:
     """Calendar bounds, as-of months and business rules of one run.
@@ -22,6 +26,7 @@ class Config:
     fiscal_start_month: int = 4
     active_status: str = "VALIDATED"
     sight_type: str = "SIGHT_DEP"
+    rate_type: str = RATE_TYPE
     bucket_edges: tuple[tuple[int, str], ...] = fixed_values.BUCKET_EDGES
 
     def __post_init__(self) -> None:

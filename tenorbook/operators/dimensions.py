@@ -92,3 +92,13 @@ def dim_counterparty(int_deals: DataFrame) -> DataFrame:
         .distinct()
         .withColumn("region", region_of("cpty_country"))
     )
+
+
+def one_per_code(counterparties: DataFrame) -> DataFrame:
+    """One row per code: its last name, then country, in order; a NULL comes first.
+
+    Joins use this side, so a code under two names neither repeats a deal nor counts
+    a total twice. The dimension itself keeps all names, and the grain check shows them.
+    """
+    last = F.max(F.struct("cpty_name", "cpty_country", "region")).alias("last")
+    return counterparties.groupBy("cpty_code").agg(last).select("cpty_code", "last.*")

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tenorbook.operators.dimensions import one_per_code
+
 ACTIVE = "VALIDATED"
 
 
@@ -62,7 +64,7 @@ def exposure_by_counterparty(
     fct: DataFrame, counterparties: DataFrame, status: str | None = ACTIVE
 ) -> DataFrame:
     totals = book_totals(fct, "cpty_code", status=status)
-    return totals.join(counterparties, "cpty_code", "left").select(
+    return totals.join(one_per_code(counterparties), "cpty_code", "left").select(
         "cpty_code", "cpty_name", "cpty_country", "region", "deal_count", "total_sdr"
     )
 
@@ -71,7 +73,7 @@ def exposure_by_region(
     fct: DataFrame, counterparties: DataFrame, status: str | None = ACTIVE
 ) -> DataFrame:
     totals = book_totals(fct, "cpty_code", status=status)
-    regions = counterparties.select("cpty_code", "region")
+    regions = one_per_code(counterparties).select("cpty_code", "region")
     return _roll_up(totals.join(regions, "cpty_code", "left"), "region")
 
 
@@ -160,7 +162,7 @@ def top_counterparties(
     k: int = 10,
     status: str | None = ACTIVE,
 ) -> DataFrame:
-    """The k largest depositors; ties are broken by code, name and country.
+    """The k largest depositors; ties are broken by code.
 
     The ranking is made on the totals. The dimension is then reduced to the ranked
     codes by a semi join, which Spark carries below the distinct behind it, so the
@@ -175,7 +177,7 @@ def top_counterparties(
     codes = ranked.filter("deal_count > 0").select("cpty_code")
     named = counterparties.join(codes, "cpty_code", "left_semi")
     return (
-        ranked.join(named, "cpty_code", "left")
+        ranked.join(one_per_code(named), "cpty_code", "left")
         .select(
             "cpty_code",
             "cpty_name",
@@ -184,6 +186,5 @@ def top_counterparties(
             "deal_count",
             "total_sdr",
         )
-        .orderBy(*largest_first, "cpty_name", "cpty_country")
-        .limit(k)
+        .orderBy(*largest_first)
     )

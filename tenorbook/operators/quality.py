@@ -146,13 +146,11 @@ def cast_failures(raw_deals: DataFrame) -> DataFrame:
             F.col(column).cast("string").alias("raw_value"),
             typed.isNull().alias("untyped"),
         )
-        for column, typed in deal_casts().items()
+        for column, typed in deal_casts(raw_deals).items()
     ]
-    return (
-        raw_deals.select("deal_id", F.inline(F.array(*entries)))
-        .filter(F.col("untyped") & (F.trim("raw_value") != ""))
-        .drop("untyped")
-    )
+    # Filtered inside the array, so that only failures become rows.
+    failed = F.filter(F.array(*entries), lambda x: x["untyped"] & (F.trim(x["raw_value"]) != ""))
+    return raw_deals.select("deal_id", F.inline(failed)).drop("untyped")
 
 
 def maturity_violations(

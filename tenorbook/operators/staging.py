@@ -6,16 +6,24 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
+from tenorbook.config import RATE_TYPE
 from tenorbook.functions.dates import strict_date
 
 
-def deal_casts() -> dict[str, Column]:
+def _day(raw: DataFrame, name: str) -> Column:
+    """A date column of the extract: typed columns are cast, text must fit the pattern."""
+    typed = isinstance(raw.schema[name].dataType, (DateType, TimestampType, TimestampNTZType))
+    return F.col(name).cast("date") if typed else strict_date(F.col(name))
+
+
+def deal_casts(raw: DataFrame) -> dict[str, Column]:
     """Typed form of every raw deal column that is not plain text."""
     return {
-        "trade_date": strict_date(F.col("trade_date")),
-        "value_date": strict_date(F.col("value_date")),
-        "maturity_date": strict_date(F.col("maturity_date")),
+        "trade_date": _day(raw, "trade_date"),
+        "value_date": _day(raw, "value_date"),
+        "maturity_date": _day(raw, "maturity_date"),
         "nominal_amount": F.col("nominal_amount").try_cast("decimal(20,2)"),
         "rate_pct": F.col("rate_pct").try_cast("decimal(10,6)"),
         "created_dt": F.col("created_dt").try_cast("timestamp_ntz"),
@@ -28,7 +36,7 @@ def stage_deals(raw: DataFrame) -> DataFrame:
 
     A hundredth is exact in decimals, and multiplying costs a tenth of dividing.
     """
-    typed = deal_casts()
+    typed = deal_casts(raw)
     hundredth = F.lit(Decimal("0.01"))
     rate_decimal = (typed["rate_pct"] * hundredth).cast("decimal(16,11)")
     return raw.select(
@@ -52,10 +60,13 @@ def stage_deals(raw: DataFrame) -> DataFrame:
     )
 
 
-def stage_fx_rates(raw: DataFrame) -> DataFrame:
-    """Typed rates. The feed is quoted to six places, which a decimal keeps exactly."""
+def stage_fx_rates(raw: DataFrame, rate_type: str = RATE_TYPE) -> DataFrame:
+    """Typed rates. The default keeps six places; a feed with more needs a wider type.
+
+    Up to 17 digits in all, the product with an amount keeps every place.
+    """
     return raw.select(
-        strict_date(F.col("rate_date")).alias("rate_date"),
+        _day(raw, "rate_date").alias("rate_date"),
         "currency_code",
-        F.col("sdr_per_unit").try_cast("decimal(12,6)").alias("sdr_per_unit"),
+        F.col("sdr_per_unit").try_cast(rate_type).alias("sdr_per_unit"),
     )

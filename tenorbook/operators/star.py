@@ -12,6 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tenorbook.operators.dimensions import one_per_code
 from tenorbook.operators.fact import DATE_ROLES
 
 STAR_KEYS = {
@@ -25,7 +26,8 @@ def star(fct: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Fact with the attributes of counterparty, product and currency."""
     joined = fct
     for name, key in STAR_KEYS.items():
-        joined = joined.join(dims[name], key, "left")
+        side = one_per_code(dims[name]) if name == "dim_counterparty" else dims[name]
+        joined = joined.join(side, key, "left")
     attributes = [
         column
         for name, key in STAR_KEYS.items()

@@ -45,7 +45,7 @@ class Models:
 
     @cached_property
     def stg_fx_rates(self) -> DataFrame:
-        return stage_fx_rates(self.sources.fx_rates)
+        return stage_fx_rates(self.sources.fx_rates, self.cfg.rate_type)
 
     @cached_property
     def int_deals_with_sdr(self) -> DataFrame:

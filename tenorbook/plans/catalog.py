@@ -17,14 +17,8 @@ from tenorbook.schemas import ORDER_TABLES
 from tenorbook.sources.files import Sources
 from tenorbook.sources.order_book import deals_from_orders, fx_from_month_ends
 
-# The order book trades from January 1995 to August 2001; maturities reach 2008.
-BOOK_CONFIG = Config(
-    calendar_start=dt.date(1995, 1, 1),
-    calendar_end=dt.date(2008, 12, 31),
-    as_of_start=dt.date(1995, 1, 1),
-    as_of_months=80,
-)
-BOOK_END = dt.date(2001, 8, 31)
+# A deal is valued two days after its order and matures within seven years of that.
+LONGEST_TERM = dt.timedelta(days=2 + 7 * 365)
 AS_OF = dt.date(2000, 6, 30)
 
 
@@ -40,9 +34,30 @@ class Book:
             f"{self.folder}/{name}.parquet"
         )
 
+    @cached_property
+    def config(self) -> Config:
+        """Calendar and as-of months that cover the orders, from their first and last day."""
+        day = F.col("o_orderdate").cast("date")
+        first, last = self.table("orders").agg(F.min(day), F.max(day)).first()
+        if first is None:
+            return Config()
+        return Config(
+            calendar_start=first.replace(month=1, day=1),
+            calendar_end=(last + LONGEST_TERM).replace(month=12, day=31),
+            as_of_start=first.replace(day=1),
+            as_of_months=(last.year - first.year) * 12 + last.month - first.month + 1,
+        )
+
+    @property
+    def book_end(self) -> dt.date:
+        """Last day of the last as-of month."""
+        months = self.config.as_of_start.month - 1 + self.config.as_of_months
+        year, month = divmod(months, 12)
+        return dt.date(self.config.as_of_start.year + year, month + 1, 1) - dt.timedelta(1)
+
     @cached_property
     def sources(self) -> Sources:
-        period = dimensions.date_bounds(self.spark, BOOK_CONFIG.as_of_start, BOOK_END)
+        period = dimensions.date_bounds(self.spark, self.config.as_of_start, self.book_end)
         return Sources(
             deals_from_orders(
                 self.table("orders"), self.table("customer"), self.table("nation")
@@ -52,7 +67,7 @@ class Book:
 
     @cached_property
     def models(self) -> Models:
-        return Models(self.spark, self.sources, BOOK_CONFIG)
+        return Models(self.spark, self.sources, self.config)
 
     def __getitem__(self, name: str) -> DataFrame:
         return getattr(self.models, name)
@@ -89,7 +104,7 @@ class Book:
     def trading_calendar(self) -> DataFrame:
         """Calendar that ends with the trading period, as a book calendar would."""
         bounds = dimensions.date_bounds(
-            self.spark, BOOK_CONFIG.calendar_start, BOOK_END
+            self.spark, self.config.calendar_start, self.book_end
         )
         return dimensions.dim_date(dimensions.date_spine(bounds))
 
@@ -164,14 +179,14 @@ QUERIES: dict[str, Callable[[Book], DataFrame]] = {
     "fct_currency_deposits": lambda b: b.fct,
     "star_deposits": lambda b: star.star(b.fct, b.pick(*star.STAR_KEYS)),
     # maturity ladder
-    "active_deals": lambda b: ladder.active_deals(b.fct, BOOK_CONFIG),
+    "active_deals": lambda b: ladder.active_deals(b.fct, b.config),
     "mart_maturity_ladder": lambda b: b["mart_maturity_ladder"],
-    "ladder_exposed_rows": lambda b: ladder.exposed_profile(b.fct, BOOK_CONFIG),
+    "ladder_exposed_rows": lambda b: ladder.exposed_profile(b.fct, b.config),
     "ladder_at_date": lambda b: star.slice_by(
         b["mart_maturity_ladder"], as_of_date=AS_OF
     ),
     "ladder_deals_at_date": lambda b: ladder.deals_outstanding_at(
-        b.fct, AS_OF, BOOK_CONFIG
+        b.fct, AS_OF, b.config
     ),
     "avg_active_book": lambda b: ladder.average_active_book(b["mart_maturity_ladder"]),
     # exposure reports

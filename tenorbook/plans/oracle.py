@@ -66,9 +66,9 @@ src_deals AS (
         || ':' || lpad((o_orderkey % 60)::varchar, 2, '0')
         || ':' || lpad(((7 * o_orderkey) % 60)::varchar, 2, '0') AS booked
     FROM orders
-    JOIN customer ON c_custkey = o_custkey
-    JOIN nation ON n_nationkey = c_nationkey
-    JOIN region ON r_regionkey = n_regionkey
+    LEFT JOIN customer ON c_custkey = o_custkey
+    LEFT JOIN nation ON n_nationkey = c_nationkey
+    LEFT JOIN region ON r_regionkey = n_regionkey
   )
 ),
 month_ends AS (
@@ -133,6 +133,10 @@ dim_counterparty AS (
   FROM (SELECT DISTINCT cpty_code, cpty_name, cpty_country FROM int_deals_with_sdr) p
   LEFT JOIN region_map ON country = cpty_country
 ),
+named AS (
+  SELECT * FROM dim_counterparty QUALIFY row_number() OVER (PARTITION BY cpty_code
+    ORDER BY cpty_name DESC NULLS LAST, cpty_country DESC NULLS LAST) = 1
+),
 currencies(currency, currency_name, is_sdr_basket) AS (VALUES @CURRENCIES@),
 products(deal_type, product_name, product_description) AS (VALUES @PRODUCTS@),
 covered_days AS (
@@ -184,12 +188,12 @@ ladder AS (
 book AS (SELECT * FROM fct_currency_deposits WHERE deal_status = 'VALIDATED'),
 region_totals AS (
   SELECT region, count(*) AS deal_count, sum(nominal_amount_sdr) AS total_sdr
-  FROM book LEFT JOIN dim_counterparty USING (cpty_code) GROUP BY region
+  FROM book LEFT JOIN named USING (cpty_code) GROUP BY region
 ),
 counterparty_totals AS (
   SELECT cpty_code, cpty_name, cpty_country, region, count(*) AS deal_count,
     sum(nominal_amount_sdr) AS total_sdr
-  FROM book LEFT JOIN dim_counterparty USING (cpty_code)
+  FROM book LEFT JOIN named USING (cpty_code)
   GROUP BY ALL
 )"""
 
@@ -280,7 +284,7 @@ _QUERIES = {
       SELECT f.*, cpty_name, cpty_country, region, product_name, product_description,
         currency_name, is_sdr_basket
       FROM fct_currency_deposits f
-      LEFT JOIN dim_counterparty USING (cpty_code)
+      LEFT JOIN named USING (cpty_code)
       LEFT JOIN products USING (deal_type)
       LEFT JOIN currencies USING (currency)""",
     "active_deals": "SELECT * FROM active",
@@ -305,7 +309,7 @@ _QUERIES = {
     "exposure_by_region_sliced": """
       SELECT region, count(*) AS deal_count, sum(nominal_amount_sdr) AS total_sdr
       FROM book
-      LEFT JOIN dim_counterparty USING (cpty_code)
+      LEFT JOIN named USING (cpty_code)
       JOIN fiscal_days ON date_key = value_date_key
       WHERE fiscal_year = 'FY1999-00' AND currency = 'USD'
       GROUP BY region""",

@@ -11,7 +11,8 @@ import __spark_entry__ as entry_module
 from tenorbook.operators import dimensions, ladder
 from tenorbook.operators.conversion import to_sdr
 from tenorbook.operators.star import slice_by, star
-from tenorbook.plans.catalog import AS_OF, BOOK_CONFIG, Book
+from tenorbook.config import Config
+from tenorbook.plans.catalog import AS_OF, QUERIES, Book
 from tenorbook.sources.files import write_tables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -28,7 +29,7 @@ def scan_of(frame) -> str:
     return frame._jdf.queryExecution().explainString(mode.fromString("formatted"))
 
 
-@pytest.mark.parametrize("name", entry_module.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_no_cross_join_no_python_no_collect(spark, name):
     plan = plan_of(entry_module.queries()[name](spark, FOLDER))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Arrow"):
@@ -36,7 +37,7 @@ def test_no_cross_join_no_python_no_collect(spark, name):
     assert "FileScan parquet" in plan
 
 
-@pytest.mark.parametrize("name", [n for n in entry_module.queries() if n != "region_share"])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n != "region_share"])
 def test_no_window_at_all(spark, name):
     assert "Window" not in plan_of(entry_module.queries()[name](spark, FOLDER))
 
@@ -134,7 +135,7 @@ def test_hot_keys_are_split_when_a_side_is_too_big_to_broadcast(spark):
 def test_filters_reach_the_scan_of_a_published_fact(spark, tmp_path):
     Book(spark, FOLDER).fct.write.parquet(f"{tmp_path}/fct")
     fct = spark.read.parquet(f"{tmp_path}/fct")
-    scan = scan_of(ladder.deals_outstanding_at(fct, AS_OF, BOOK_CONFIG))
+    scan = scan_of(ladder.deals_outstanding_at(fct, AS_OF, Config()))
     [pushed] = re.findall(r"PushedFilters: \[(.*)\]", scan)
     assert "GreaterThan(maturity_date_key,20000630)" in pushed
     assert "EqualTo(deal_status,VALIDATED)" in pushed
@@ -161,4 +162,4 @@ def test_observed_spines_agree_with_the_configured_book(spark):
     bounds = dimensions.observed_bounds(
         book["stg_deals"], F.col("trade_date"), F.col("trade_date")
     )
-    assert dimensions.month_end_spine(bounds).count() == BOOK_CONFIG.as_of_months
+    assert dimensions.month_end_spine(bounds).count() == book.config.as_of_months
