@@ -141,4 +141,4 @@ def chosen(docs: DataFrame, key: str = "doc_id", text: str = "text", **options:
     shares = mix(docs, key, text, **options).groupBy("doc_id", "size").agg(F.sum("taken").alias("_all"), F.count(F.lit(1)).alias("_n"))
     shares = stored(shares.select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.floor(F.col("_all") / F.col("_n")).alias("_taken")))
     joined = docs.join(shares, docs[key].eqNullSafe(shares["_id"]) & (word_count(docs[text]) == shares["_size"]))
-    return joined.filter("_taken > 0").select(*docs.columns, F.col("_size").alias("size"), F.col("_taken").alias("taken"))
+    return joined.filter(shares["_taken"] > 0).select(*[docs[c] for c in docs.columns], shares["_size"].alias("size"), shares["_taken"].alias("taken"))

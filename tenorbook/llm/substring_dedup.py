@@ -189,4 +189,4 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     changed = dedupe(docs, key, text, window).filter("n_removed > 0").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("kept").alias("_kept"))
     changed = stored(changed.dropDuplicates(["_id", "_hash"]))
     joined = docs.join(changed, docs[key].eqNullSafe(changed["_id"]) & (F.xxhash64(docs[text]) == changed["_hash"]), "left")
-    return joined.withColumn(text, F.coalesce("_kept", F.col(text))).drop("_id", "_hash", "_kept")
+    return joined.select(*[F.coalesce(changed["_kept"], docs[c]).alias(c) if c == text else docs[c] for c in docs.columns])

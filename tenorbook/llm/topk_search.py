@@ -82,7 +82,7 @@ class Tree:
 
 def _matrix(column: pa.ChunkedArray, rows: int) -> np.ndarray:
     values = pa.concat_arrays([x.flatten() for x in column.chunks]) if column.num_chunks else pa.array([], pa.float64())
-    return values.to_numpy(zero_copy_only=False).reshape(rows, -1)
+    return values.to_numpy(zero_copy_only=False).reshape(rows, -1 if rows else 0)
 
 
 def _numbers(table: pa.Table, name: str) -> np.ndarray:
