@@ -64,7 +64,7 @@ def test_counterparty_join_is_dropped_when_not_needed(spark):
 def test_top_k_names_only_the_ranked_and_totals_once(spark):
     result = entry_module.queries()["top_counterparties"](spark, FOLDER)
     plan = plan_of(result)
-    assert plan.count("TakeOrderedAndProject") == 3
+    assert plan.count("TakeOrderedAndProject") == 2
     # Read downwards: the distinct of names sits above the semi join.
     assert plan.index("keys=[cpty_code#", plan.index("LeftOuter")) < plan.index("LeftSemi")
     result.collect()
