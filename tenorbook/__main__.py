@@ -1,4 +1,4 @@
-"""Publishes the marts from a folder of extracts: `spark-submit -m tenorbook ...`."""
+"""Publishes the marts from a folder of extracts: `python -m tenorbook ...`."""
 
 from __future__ import annotations
 
