@@ -247,7 +247,10 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold
     gone = classes.filter(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
     twice = head.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(F.col("doc_id").alias("_id"))
     gone, twice = stored(gone), stored(twice)
-    left = docs.join(gone, docs[key].eqNullSafe(gone["_id"]) & (F.xxhash64(docs[text]) == gone["_hash"]), "left_anti")
+    # merged at every size, as the rows to drop grow with the corpus
+    left = docs.hint("merge").join(gone, docs[key].eqNullSafe(gone["_id"]) & (F.xxhash64(docs[text]) == gone["_hash"]), "left_anti")
+    if twice.isEmpty():
+        return left
     repeated = left.join(twice, left[key].eqNullSafe(twice["_id"]), "left_semi")
     single = left.join(twice, left[key].eqNullSafe(twice["_id"]), "left_anti")
     return single.unionByName(repeated.filter(wordless)).unionByName(repeated.filter(~wordless).dropDuplicates([key]))
