@@ -12,6 +12,11 @@ from tenorbook.plans.build import publish
 from tenorbook.sources.files import Sources
 
 
+def _edge(text: str) -> tuple[int, str]:
+    days, label = text.split("=", 1)
+    return int(days), label
+
+
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
     default = Config()
     day = dt.date.fromisoformat
@@ -23,6 +28,15 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--calendar-end", type=day, default=default.calendar_end)
     parser.add_argument("--as-of-start", type=day, default=default.as_of_start)
     parser.add_argument("--as-of-months", type=int, default=default.as_of_months)
+    parser.add_argument("--fiscal-start-month", type=int, default=default.fiscal_start_month)
+    parser.add_argument("--active-status", default=default.active_status)
+    parser.add_argument("--sight-type", default=default.sight_type)
+    parser.add_argument("--rate-type", default=default.rate_type)
+    parser.add_argument("--sight-bucket", default=default.sight_bucket)
+    parser.add_argument("--last-bucket", help="label beyond the last edge")
+    parser.add_argument(
+        "--bucket", action="append", type=_edge, metavar="DAYS=LABEL", help="one per edge, rising"
+    )
     return parser.parse_args(argv)
 
 
@@ -33,6 +47,13 @@ def main(argv: list[str] | None = None) -> None:
         calendar_end=args.calendar_end,
         as_of_start=args.as_of_start,
         as_of_months=args.as_of_months,
+        fiscal_start_month=args.fiscal_start_month,
+        active_status=args.active_status,
+        sight_type=args.sight_type,
+        rate_type=args.rate_type,
+        bucket_edges=tuple(args.bucket) if args.bucket else Config.bucket_edges,
+        sight_bucket=args.sight_bucket,
+        last_bucket=args.last_bucket,
     )
     spark = SparkSession.builder.appName("tenorbook").getOrCreate()
     published = publish(

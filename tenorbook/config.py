@@ -28,6 +28,9 @@ class Config:
     sight_type: str = "SIGHT_DEP"
     rate_type: str = RATE_TYPE
     bucket_edges: tuple[tuple[int, str], ...] = fixed_values.BUCKET_EDGES
+    sight_bucket: str = fixed_values.SIGHT_BUCKET
+    #: Label beyond the last edge; to be given with edges of one's own.
+    last_bucket: str | None = None
 
     def __post_init__(self) -> None:
         if self.calendar_end < self.calendar_start:
@@ -39,3 +42,7 @@ class Config:
         edges = [days for days, _ in self.bucket_edges]
         if edges != sorted(set(edges)):
             raise ValueError("bucket_edges must rise strictly")
+        if self.last_bucket is None:
+            if self.bucket_edges != fixed_values.BUCKET_EDGES:
+                raise ValueError("bucket_edges need a last_bucket")
+            object.__setattr__(self, "last_bucket", fixed_values.LAST_BUCKET)

@@ -88,3 +88,12 @@ BASE_RATES = (
 # Days from value date to maturity on offer per product.
 NOTICE_DAYS = (30, 60, 90, 180)
 FIXED_TERM_DAYS = (30, 60, 90, 120, 180, 270, 365, 540, 730)
+
+# Fixed values of the order-book adapter: country per nation key (XX and EU are
+# international bodies, ZZ is unknown), portfolio per region key, currency by
+# the last digit of the customer key.
+BOOK_COUNTRIES = (
+    "ZA US CN DE SA NG BR JP FR AE EG MX IN GB KW KE CA KR CH QA XX EU SG IT ZZ"
+).split()
+BOOK_PORTFOLIOS = "TRSRY-EMEA TRSRY-AMER TRSRY-APAC TRSRY-EMEA TRSRY-INTL".split()
+BOOK_CURRENCIES = "USD EUR GBP JPY CNY CHF AUD CAD SGD KRW".split()

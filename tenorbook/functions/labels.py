@@ -25,9 +25,11 @@ def maturity_bucket(
     days: Column,
     is_sight: Column,
     edges: tuple[tuple[int, str], ...] = fixed_values.BUCKET_EDGES,
+    sight_label: str = fixed_values.SIGHT_BUCKET,
+    last_label: str = fixed_values.LAST_BUCKET,
 ) -> Column:
     """Time bucket of a deposit; sight money is overnight whatever its dates say."""
-    bucket = F.when(is_sight, fixed_values.SIGHT_BUCKET)
+    bucket = F.when(is_sight, sight_label)
     for upper, label in edges:
         bucket = bucket.when(days <= upper, label)
-    return bucket.otherwise(fixed_values.LAST_BUCKET)
+    return bucket.otherwise(last_label)

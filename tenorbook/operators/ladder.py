@@ -16,6 +16,12 @@ def _is_sight(cfg: Config) -> Column:
     return F.coalesce(F.col("deal_type") == cfg.sight_type, F.lit(False))
 
 
+def _bucket(days: Column, is_sight: Column, cfg: Config) -> Column:
+    return maturity_bucket(
+        days, is_sight, cfg.bucket_edges, cfg.sight_bucket, cfg.last_bucket
+    )
+
+
 def active_deals(fct: DataFrame, cfg: Config = Config()) -> DataFrame:
     """Deals in the active state, with the maturity date decoded from its key."""
     return fct.filter(F.col("deal_status") == cfg.active_status).select(
@@ -76,9 +82,7 @@ def exposed_profile(fct: DataFrame, cfg: Config = Config()) -> DataFrame:
             "is_sight",
             "maturity_date",
             "days_to_maturity",
-            maturity_bucket(days, F.col("is_sight"), cfg.bucket_edges).alias(
-                "maturity_bucket"
-            ),
+            _bucket(days, F.col("is_sight"), cfg).alias("maturity_bucket"),
             "deal_count",
             "total_sdr",
         )
@@ -117,15 +121,17 @@ def deals_outstanding_at(
         "deal_type",
         "maturity_date",
         "days_to_maturity",
-        maturity_bucket(
-            F.col("days_to_maturity"), _is_sight(cfg), cfg.bucket_edges
-        ).alias("maturity_bucket"),
+        _bucket(F.col("days_to_maturity"), _is_sight(cfg), cfg).alias("maturity_bucket"),
         "nominal_amount_sdr",
     )
 
 
 def average_active_book(ladder: DataFrame) -> DataFrame:
-    """Mean over the as-of dates of the ladder's SDR total."""
+    """Mean over the as-of dates of the ladder's SDR total.
+
+    A date on which no deal, or no deal with a rate, is outstanding has no total and
+    does not count.
+    """
     per_date = ladder.groupBy("as_of_date").agg(
         F.sum("deal_count").alias("deal_count"), F.sum("total_sdr").alias("total_sdr")
     )

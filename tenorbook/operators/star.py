@@ -26,8 +26,15 @@ def star(fct: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Fact with the attributes of counterparty, product and currency."""
     joined = fct
     for name, key in STAR_KEYS.items():
-        side = one_per_code(dims[name]) if name == "dim_counterparty" else dims[name]
-        joined = joined.join(side, key, "left")
+        if name == "dim_counterparty":
+            side = one_per_code(dims[name]).withColumnRenamed(key, "named_code")
+            # The length follows from the code. As a second key it makes Spark shuffle
+            # the reduced side for this join, without which a hot code is not split.
+            code, named = F.col(key), F.col("named_code")
+            same = (code == named) & (F.length(code) == F.length(named))
+            joined = joined.join(side, same, "left").drop("named_code")
+        else:
+            joined = joined.join(dims[name], key, "left")
     attributes = [
         column
         for name, key in STAR_KEYS.items()

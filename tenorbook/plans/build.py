@@ -123,6 +123,7 @@ def publish(
             {name: getattr(models, name)},
             out_dir,
             partition_by={"mart_maturity_ladder": "as_of_date"},
+            cluster_by={"fct_currency_deposits": ("maturity_date_key", "deal_id")},
         )
         published[name] = spark.read.parquet(f"{out_dir}/{name}")
         # What depends on this model from here on starts at the written table.

@@ -25,8 +25,12 @@ AS_OF = dt.date(2000, 6, 30)
 class Book:
     """Sources and models over one folder of order tables, composed on first use."""
 
-    def __init__(self, spark: SparkSession, folder: str) -> None:
+    def __init__(
+        self, spark: SparkSession, folder: str, **rules: str
+    ) -> None:
+        """`rules` are further values of the configuration."""
         self.spark = spark
+        self.rules = rules
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
@@ -40,8 +44,9 @@ class Book:
         day = F.col("o_orderdate").cast("date")
         first, last = self.table("orders").agg(F.min(day), F.max(day)).first()
         if first is None:
-            return Config()
+            return Config(**self.rules)
         return Config(
+            **self.rules,
             calendar_start=first.replace(month=1, day=1),
             calendar_end=(last + LONGEST_TERM).replace(month=12, day=31),
             as_of_start=first.replace(day=1),
@@ -122,6 +127,7 @@ def _grain(b: Book) -> DataFrame:
                 ("as_of_date", "maturity_bucket"),
             ),
             "stg_fx_rates": (b["stg_fx_rates"], ("rate_date", "currency_code")),
+            "customer": (b.table("customer"), ("c_custkey",)),
         }
     )
 
@@ -144,18 +150,22 @@ def _row_counts(b: Book) -> DataFrame:
 
 def _by_fiscal_year(role: str) -> Callable[[Book], DataFrame]:
     return lambda b: exposure.deposits_by_fiscal_year(
-        b.fct, b["dim_date"], b["dim_product"], role
+        b.fct, b["dim_date"], b["dim_product"], role, b.config.active_status
     )
 
 
 def _by_region(b: Book) -> DataFrame:
-    return exposure.exposure_by_region(b.fct, b["dim_counterparty"])
+    return exposure.exposure_by_region(
+        b.fct, b["dim_counterparty"], b.config.active_status
+    )
 
 
 def _sliced_by_region(b: Book) -> DataFrame:
     dated = star.with_date_role(b.fct, b["dim_date"], "value")
     sliced = star.slice_by(dated, value_fiscal_year="FY1999-00", currency="USD")
-    return exposure.exposure_by_region(sliced, b["dim_counterparty"])
+    return exposure.exposure_by_region(
+        sliced, b["dim_counterparty"], b.config.active_status
+    )
 
 
 QUERIES: dict[str, Callable[[Book], DataFrame]] = {
@@ -194,22 +204,26 @@ QUERIES: dict[str, Callable[[Book], DataFrame]] = {
     "exposure_by_region_sliced": _sliced_by_region,
     "region_share": lambda b: exposure.region_share(_by_region(b)),
     "exposure_by_currency": lambda b: exposure.exposure_by_currency(
-        b.fct, b["dim_currency"]
+        b.fct, b["dim_currency"], b.config.active_status
     ),
     "exposure_by_product": lambda b: exposure.exposure_by_product(
-        b.fct, b["dim_product"]
+        b.fct, b["dim_product"], b.config.active_status
+    ),
+    "exposure_by_portfolio": lambda b: exposure.exposure_by_portfolio(
+        b.fct, b.config.active_status
     ),
-    "exposure_by_portfolio": lambda b: exposure.exposure_by_portfolio(b.fct),
     "exposure_by_counterparty": lambda b: exposure.exposure_by_counterparty(
-        b.fct, b["dim_counterparty"]
+        b.fct, b["dim_counterparty"], b.config.active_status
     ),
     "top_counterparties": lambda b: exposure.top_counterparties(
-        b.fct, b["dim_counterparty"]
+        b.fct, b["dim_counterparty"], status=b.config.active_status
     ),
     "exposure_sdr_basket": lambda b: exposure.exposure_sdr_basket(
-        b.fct, b["dim_currency"]
+        b.fct, b["dim_currency"], b.config.active_status
+    ),
+    "cost_of_funds_by_currency": lambda b: exposure.cost_of_funds_by_currency(
+        b.fct, b.config.active_status
     ),
-    "cost_of_funds_by_currency": lambda b: exposure.cost_of_funds_by_currency(b.fct),
     "deposits_by_value_fy": _by_fiscal_year("value"),
     "deposits_by_trade_fy": _by_fiscal_year("trade"),
     "deposits_by_maturity_fy": _by_fiscal_year("maturity"),
@@ -220,7 +234,9 @@ QUERIES: dict[str, Callable[[Book], DataFrame]] = {
     "dq_missing_fx": lambda b: quality.missing_fx(b["int_deals_with_sdr"]),
     "dq_domains": lambda b: quality.domain_report(b["stg_deals"]),
     "dq_cast_failures": lambda b: quality.cast_failures(b.sources.deals),
-    "dq_maturity_rule": lambda b: quality.maturity_report(b["stg_deals"]),
+    "dq_maturity_rule": lambda b: quality.maturity_report(
+        b["stg_deals"], b.config.sight_type
+    ),
     "dq_row_counts": _row_counts,
 }
 

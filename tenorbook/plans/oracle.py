@@ -210,6 +210,20 @@ def _prelude() -> str:
     return text
 
 
+def _digits(number: str) -> str:
+    """A decimal without its point: the whole number of its smallest units."""
+    return f"replace(({number})::varchar, '.', '')::hugeint"
+
+
+def _quotient(above: str, below: str, places: int) -> str:
+    """Whole numbers, not negative: `above` over `below` in units of 10^-places, halves up."""
+    units = f"((2 * {above} + {below}) // (2 * {below}))"
+    return (
+        f"(({units} // {10**places})::varchar || '.'"
+        f" || lpad(({units} % {10**places})::varchar, {places}, '0'))"
+    )
+
+
 def _by_fiscal_year(role: str) -> str:
     return f"""
       SELECT fiscal_year, product_name, count(*) AS deal_count,
@@ -299,10 +313,10 @@ _QUERIES = {
       SELECT as_of_date, deal_id, deal_type, maturity_date, days_to_maturity,
         maturity_bucket, nominal_amount_sdr
       FROM exposed WHERE as_of_date = DATE '2000-06-30'""",
-    "avg_active_book": """
+    "avg_active_book": f"""
       SELECT count(*) AS as_of_dates, sum(n)::bigint AS sum_deal_count,
         sum(s) AS sum_total_sdr,
-        (sum(s)::double / count(s))::decimal(38,2) AS average_sdr
+        {_quotient(_digits('sum(s)'), '(1000000 * count(s))', 2)}::decimal(38,2) AS average_sdr
       FROM (SELECT count(*) AS n, sum(nominal_amount_sdr) AS s FROM exposed
         GROUP BY as_of_date)""",
     "exposure_by_region": "SELECT * FROM region_totals",
@@ -313,10 +327,11 @@ _QUERIES = {
       JOIN fiscal_days ON date_key = value_date_key
       WHERE fiscal_year = 'FY1999-00' AND currency = 'USD'
       GROUP BY region""",
-    "region_share": """
-      SELECT region, total_sdr, sum(total_sdr) OVER () AS grand_total_sdr,
-        (total_sdr::double / (sum(total_sdr) OVER ())::double)::decimal(18,6) AS share
-      FROM region_totals""",
+    "region_share": f"""
+      SELECT region, total_sdr, grand_total_sdr,
+        {_quotient(f"(1000000 * {_digits('total_sdr')})", _digits('grand_total_sdr'), 6)}::decimal(18,6)
+          AS share
+      FROM (SELECT *, sum(total_sdr) OVER () AS grand_total_sdr FROM region_totals)""",
     "exposure_by_currency": """
       SELECT currency, currency_name, is_sdr_basket, count(*) AS deal_count,
         sum(nominal_amount_sdr) AS total_sdr
@@ -339,13 +354,14 @@ _QUERIES = {
         sum(CASE WHEN NOT basket THEN nominal_amount_sdr END) AS other_sdr
       FROM (SELECT nominal_amount_sdr, coalesce(is_sdr_basket = 'Y', false) AS basket
         FROM book LEFT JOIN currencies USING (currency))""",
-    "cost_of_funds_by_currency": """
+    "cost_of_funds_by_currency": f"""
       SELECT currency, count(*) AS deal_count,
         sum(rate_pct * weight) AS rate_times_sdr,
         sum(weight) AS weight_sdr,
-        (sum(rate_pct * weight)::double / nullif(sum(weight), 0)::double)::decimal(18,6)
-          AS weighted_rate_pct,
-        (sum(rate_pct)::double / nullif(count(rate_pct), 0))::decimal(18,6) AS mean_rate_pct
+        {_quotient(_digits('sum(rate_pct * weight)'), _digits('nullif(sum(weight), 0)'), 6)}
+          ::decimal(18,6) AS weighted_rate_pct,
+        {_quotient(_digits('sum(rate_pct)'), 'nullif(count(rate_pct), 0)', 6)}::decimal(18,6)
+          AS mean_rate_pct
       FROM (SELECT currency, rate_pct,
           CASE WHEN rate_pct IS NOT NULL THEN nominal_amount_sdr::decimal(27,8) END AS weight
         FROM book)
@@ -362,6 +378,7 @@ _QUERIES = {
             _grain("dim_date", "calendar_days", "full_date"),
             _grain("mart_maturity_ladder", "ladder", "as_of_date", "maturity_bucket"),
             _grain("stg_fx_rates", "stg_fx_rates", "rate_date", "currency_code"),
+            _grain("customer", "customer", "c_custkey"),
         ]
     ),
     "dq_orphans": " UNION ALL ".join(

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tenorbook.schemas import DEALS_RAW, FX_RAW
 
@@ -40,10 +40,13 @@ class Sources:
 def _read(spark: SparkSession, path: str, fmt: str, schema: StructType) -> DataFrame:
     if fmt == "csv":
         # enforceSchema=False makes Spark compare the header with the schema, so a
-        # file with moved columns fails instead of being read under wrong names.
+        # file with moved columns fails instead of being read under wrong names. A
+        # line with too few or too many fields fails the read; `malformed_lines`
+        # lists such lines. Fields can only be counted when none is pruned.
         return (
             spark.read.schema(schema)
-            .options(header=True, enforceSchema=False, **_QUOTING)
+            .options(header=True, enforceSchema=False, mode="FAILFAST", columnPruning=False)
+            .options(**_QUOTING)
             .csv(path)
         )
     # A columnar table has its own types; staging accepts text and numbers alike.
@@ -58,6 +61,17 @@ def read_fx_rates(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame
     return _read(spark, path, fmt, FX_RAW)
 
 
+def malformed_lines(spark: SparkSession, path: str, schema: StructType = DEALS_RAW) -> DataFrame:
+    """Lines of a CSV extract with too few or too many fields, as they stand in the file."""
+    lines = (
+        spark.read.schema(StructType([*schema.fields, StructField("malformed_line", StringType())]))
+        .options(header=True, columnNameOfCorruptRecord="malformed_line", columnPruning=False)
+        .options(**_QUOTING)
+        .csv(path)
+    )
+    return lines.filter("malformed_line IS NOT NULL").select(*schema.names[:1], "malformed_line")
+
+
 def write_csv(frame: DataFrame, path: str) -> None:
     """CSV with a header; blanks at the ends of a value are kept."""
     frame.write.mode("overwrite").options(
@@ -69,10 +83,10 @@ def write_csv(frame: DataFrame, path: str) -> None:
 
 
 def load_raw(spark: SparkSession, csv_dir: str, out_dir: str) -> Sources:
-    """Both CSV extracts as parquet tables of text columns."""
+    """Both CSV extracts as parquet tables of text columns, the short rates in few files."""
     extracts = Sources.from_files(spark, csv_dir)
     extracts.deals.write.mode("overwrite").parquet(f"{out_dir}/src_deals")
-    extracts.fx_rates.write.mode("overwrite").parquet(f"{out_dir}/src_fx_rates")
+    extracts.fx_rates.hint("rebalance").write.mode("overwrite").parquet(f"{out_dir}/src_fx_rates")
     return Sources.from_files(spark, out_dir, "parquet")
 
 
@@ -80,15 +94,22 @@ def write_tables(
     frames: Mapping[str, DataFrame],
     out_dir: str,
     partition_by: Mapping[str, str] | None = None,
+    cluster_by: Mapping[str, tuple[str, ...]] | None = None,
 ) -> None:
     """Each frame as a parquet table.
 
     A partitioned one is rebalanced on its column first: few files per value, and
-    adaptive execution splits a value too large for one task.
+    adaptive execution splits a value too large for one task. A clustered one is
+    dealt and sorted by ranges of its columns, so that readers skip files and row
+    groups; a last column without repeats lets a frequent value span many tasks.
     """
     for name, frame in frames.items():
         column = (partition_by or {}).get(name)
-        if column is None:
+        if name in (cluster_by or {}):
+            columns = cluster_by[name]
+            ranged = frame.repartitionByRange(*columns).sortWithinPartitions(*columns)
+            ranged.write.mode("overwrite").parquet(f"{out_dir}/{name}")
+        elif column is None:
             frame.write.mode("overwrite").parquet(f"{out_dir}/{name}")
         else:
             balanced = frame.hint("rebalance", column)

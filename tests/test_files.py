@@ -2,14 +2,16 @@ from __future__ import annotations
 
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from book import raw_deals, raw_rates, rows_of
 
 from tenorbook import Config, Sources, build, publish, publish_views
 from tenorbook.__main__ import main
-from tenorbook.plans.build import LAYERS
+from tenorbook.plans.build import LAYERS, Models
+from tenorbook.plans.catalog import QUERIES, Book
 from tenorbook.schemas import DEALS_RAW
-from tenorbook.sources.files import load_raw, read_deals, write_csv
+from tenorbook.sources.files import load_raw, malformed_lines, read_deals, write_csv, write_tables
 
 RATES = [("2023-03-31", "USD", "0.5")]
 
@@ -121,3 +123,80 @@ def test_command_line(spark, csv_dir, tmp_path, capsys):
         ("1. Overnight", 1),
         ("4. <= 3 Months", 1),
     ]
+
+
+def test_malformed_lines_are_refused_and_listed(spark, tmp_path):
+    path = tmp_path / "deals.csv"
+    good = ",".join(["A", *["x"] * 15])
+    lines = [",".join(DEALS_RAW.names), good, "B,x,y", good + ",17th"]
+    path.write_text("\n".join(lines) + "\n")
+    listed = malformed_lines(spark, str(path))
+    assert sorted(r.malformed_line for r in listed.collect()) == sorted(lines[2:])
+    for refused in (lambda: read_deals(spark, str(path)).collect(), lambda: read_deals(spark, str(path)).select("deal_id").collect()):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            refused()
+
+
+def test_published_fact_is_clustered_by_maturity(spark, tmp_path):
+    # A third of the rows share one maturity, a few have none.
+    fct = spark.range(0, 90000, 1, 4).selectExpr(
+        "concat('D', id) AS deal_id",
+        "CASE WHEN id % 50 = 1 THEN NULL WHEN id % 3 = 0 THEN 20000101 ELSE cast(19990101 + id % 20000 AS int) END AS maturity_date_key",
+        "repeat(uuid(), 10) AS filler",
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "1MB")
+    try:
+        write_tables({"fct": fct}, str(tmp_path), cluster_by={"fct": ("maturity_date_key", "deal_id")})
+    finally:
+        spark.conf.unset(key)
+    assert spark.read.parquet(f"{tmp_path}/fct").count() == 90000
+    spans = []
+    for name in sorted(f for f in os.listdir(tmp_path / "fct") if f.endswith(".parquet")):
+        meta = pq.ParquetFile(tmp_path / "fct" / name).metadata
+        for group in range(meta.num_row_groups):
+            stats = meta.row_group(group).column(1).statistics
+            spans.append((stats.min, stats.max, meta.row_group(group).num_rows))
+    # The frequent maturity, with 30,000 rows, spans tasks; another is in one group alone.
+    assert max(n for _, _, n in spans) < 30000
+    assert sum(low <= 20000101 <= high for low, high, _ in spans if low is not None) >= 2
+    assert sum(low <= 20000801 <= high for low, high, _ in spans if low is not None) == 1
+
+
+def test_rules_reach_the_reports_and_the_command_line(spark, csv_dir, tmp_path, capsys):
+    rules = ["--active-status", "VALIDATED", "--sight-type", "FIXBIS_DEP", "--fiscal-start-month", "7"]
+    labels = ["--bucket", "7=week", "--bucket", "30=month", "--sight-bucket", "now", "--last-bucket", "later"]
+    main([csv_dir, f"{tmp_path}/cli", "--as-of-start", "2024-01-01", "--as-of-months", "1", *rules, *labels])
+    ladder = spark.read.parquet(f"{tmp_path}/cli/mart_maturity_ladder")
+    assert rows_of(ladder, "maturity_bucket", "deal_count") == [("now", 1)]
+    years = spark.read.parquet(f"{tmp_path}/cli/dim_date").filter("full_date = DATE '2024-06-30'")
+    assert years.first().fiscal_year == "FY2023-24"
+
+
+def test_another_state_reaches_the_named_reports(spark):
+    book = Book(spark, "/root/testdata/sf0.001", active_status="MATURED")
+    want = book.fct.filter("deal_status = 'MATURED'").count()
+    for name in ("exposure_by_region", "exposure_by_currency", "exposure_by_product", "exposure_by_portfolio",
+                 "exposure_by_counterparty", "cost_of_funds_by_currency", "deposits_by_value_fy"):
+        assert sum(r.deal_count for r in QUERIES[name](book).collect()) == want, name
+
+
+def test_marts_are_the_same_from_csv_parquet_and_catalog(spark, tmp_path):
+    book = Book(spark, "/root/testdata/sf0.001")
+    write_csv(book.sources.deals, f"{tmp_path}/src_deals.csv")
+    write_csv(book.sources.fx_rates, f"{tmp_path}/src_fx_rates.csv")
+    raw = load_raw(spark, str(tmp_path), f"{tmp_path}/raw")
+    assert len([f for f in os.listdir(tmp_path / "raw" / "src_fx_rates") if f.endswith(".parquet")]) == 1
+    spark.sql("CREATE DATABASE IF NOT EXISTS round_trip")
+    try:
+        raw.deals.write.mode("overwrite").saveAsTable("round_trip.src_deals")
+        raw.fx_rates.write.mode("overwrite").saveAsTable("round_trip.src_fx_rates")
+        inputs = [Sources.from_files(spark, str(tmp_path)), raw, Sources.from_catalog(spark, "round_trip")]
+        for name in LAYERS["mart"]:
+            want = book[name]
+            for sources in inputs:
+                got = getattr(Models(spark, sources, book.config), name)
+                assert got.dtypes == want.dtypes
+                assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), name
+    finally:
+        spark.sql("DROP DATABASE round_trip CASCADE")

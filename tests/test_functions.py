@@ -152,6 +152,7 @@ def test_regions(spark):
         {"as_of_months": 0},
         {"fiscal_start_month": 13},
         {"bucket_edges": ((30, "a"), (7, "b"))},
+        {"bucket_edges": ((7, "a"),)},
     ],
 )
 def test_config_rejects_nonsense(bad):

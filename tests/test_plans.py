@@ -113,9 +113,9 @@ def test_hot_keys_are_split_when_a_side_is_too_big_to_broadcast(spark):
             "'USD' AS currency",
         )
         parties = spark.range(5003).selectExpr(
-            "concat('C', id) AS cpty_code", "'Europe' AS region"
+            "concat('C', id) AS cpty_code", "concat('N', id) AS cpty_name", "'FR' AS cpty_country", "'Europe' AS region"
         )
-        hot = spark.range(1).selectExpr("'HOT' AS cpty_code", "'Africa' AS region")
+        hot = spark.range(1).selectExpr("'HOT' AS cpty_code", "'Hot' AS cpty_name", "'ZA' AS cpty_country", "'Africa' AS region")
         dims = {
             "dim_counterparty": parties.unionByName(hot),
             "dim_product": dimensions.dim_product(spark),
@@ -126,7 +126,44 @@ def test_hot_keys_are_split_when_a_side_is_too_big_to_broadcast(spark):
         assert "skew=true" in plan_of(joined)
         assert len(rows) == 60000
         assert sum(row.region == "Africa" for row in rows) == 20000
-        assert star(deals, dims).filter("region IS NULL OR currency_name IS NULL").count() == 0
+        starred = star(deals, dims)
+        full = starred.collect()
+        assert "skew=true" in plan_of(starred)
+        assert len(full) == 60000 and all(r.region and r.currency_name for r in full)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
+def test_a_hot_customer_is_split_in_the_adapter(spark, tmp_path):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    # A third of the orders belong to one customer.
+    spark.range(0, 60000, 1, 8).selectExpr(
+        "id AS o_orderkey",
+        "if(id % 3 = 0, 7, id % 5003) AS o_custkey",
+        "'O' AS o_orderstatus",
+        "1000.0D AS o_totalprice",
+        "timestamp_ntz'1996-01-02 00:00:00' AS o_orderdate",
+        "'3-MEDIUM' AS o_orderpriority",
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(5003).selectExpr(
+        "id AS c_custkey", "concat('C', id) AS c_name", "cast(id % 25 AS int) AS c_nationkey"
+    ).write.parquet(f"{tmp_path}/customer.parquet")
+    Book(spark, FOLDER).table("nation").write.parquet(f"{tmp_path}/nation.parquet")
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        named = Book(spark, str(tmp_path))["stg_deals"].select("deal_id", "cpty_name")
+        rows = named.collect()
+        assert "skew=true" in plan_of(named)
+        assert len(rows) == 60000
+        # Key 7 also falls to some of the other orders.
+        assert sum(row.cpty_name == "C7" for row in rows) >= 20000
     finally:
         for key in settings:
             spark.conf.unset(key)
