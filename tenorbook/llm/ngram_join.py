@@ -158,8 +158,14 @@ def _common(sets: list[np.ndarray], others: list[np.ndarray], width: int = 4096)
     return np.rint(out).astype(np.int64)
 
 
-def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.8, tolerance: float = 1e-7, block_shingles: int = 200_000) -> DataFrame:
-    """One row per document: doc_id, text_hash, class_id, n_links, and repeats: rows with its id and class."""
+def join(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.8, tolerance: float = 1e-7, block_shingles: int = 200_000, block_rows: int = 1024
+) -> DataFrame:
+    """One row per document: doc_id, text_hash, class_id and n_links.
+
+    A block holds about `block_shingles` shingles or `block_rows` texts, whichever is fewer: short texts by the thousand would
+    otherwise meet in one table of all their pairs.
+    """
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     sketch = rows.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
@@ -179,7 +185,8 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: fl
 
     members = groups.join(classes.drop("bands"), F.col("node") == F.col("cid")).select("cid", "copies", "least", "h1", "h2", "n", F.col("label").alias("group"))
     members = stored(members)
-    blocks = stored(members.groupBy("group").agg(F.ceil(F.sum("n") / block_shingles).cast("int").alias("blocks")))
+    needed = F.ceil(F.greatest(F.sum("n") / block_shingles, F.count(F.lit(1)) / block_rows))
+    blocks = stored(members.groupBy("group").agg(needed.cast("int").alias("blocks")))
     members = stored(members.join(blocks, "group"))
     # a merge join at every size, as the members grow with the corpus; texts are compressed for its shuffle
     keyed = packed(rows.withColumn("text_hash", F.xxhash64("text")))

@@ -123,7 +123,8 @@ def test_token_counts_equal_the_tokenizer(odd):
     assert rows_of(token_counts.count_tokens(odd, pieces), "doc_id", "n_tokens") == sorted(want, key=str)
 
 
-def test_ngram_join(odd):
+@pytest.mark.parametrize("block_rows", [1024, 4])
+def test_ngram_join(odd, block_rows):
     rows = odd.collect()
     sets = []
     for r in rows:
@@ -145,7 +146,7 @@ def test_ngram_join(odd):
     for k, r in enumerate(rows):
         least.setdefault(find(k), []).append(r.doc_id)
     want = [(r.doc_id, min((d for d in least[find(k)] if d is not None), default=None), links[k]) for k, r in enumerate(rows)]
-    assert rows_of(ngram_join.join(odd), "doc_id", "class_id", "n_links") == sorted(want, key=str)
+    assert rows_of(ngram_join.join(odd, block_rows=block_rows), "doc_id", "class_id", "n_links") == sorted(want, key=str)
     assert max(links.values()) > 3
 
 
