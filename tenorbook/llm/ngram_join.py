@@ -23,7 +23,7 @@ from math import lgamma
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenorbook.llm.common import Rolling, Words, mixed, pieces, stored
@@ -161,7 +161,10 @@ def _common(sets: list[np.ndarray], others: list[np.ndarray], width: int = 4096)
 def join(
     docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.8, tolerance: float = 1e-7, block_shingles: int = 200_000, block_rows: int = 1024
 ) -> DataFrame:
-    """One row per document: doc_id, text_hash, class_id and n_links.
+    """One row per document: doc_id, text_hash, class_id, head_hash and n_links.
+
+    class_id and head_hash are the id and the text's hash of the head of the class, the least of both, null ids last. Unlike ids,
+    which may be null or repeated, both together tell classes apart. Without words there is no head_hash.
 
     A block holds about `block_shingles` shingles or `block_rows` texts, whichever is fewer: short texts by the thousand would
     otherwise meet in one table of all their pairs.
@@ -173,7 +176,7 @@ def join(
     )
     sketch = stored(sketch)
     classes = sketch.filter("n > 0").groupBy("h1", "h2").agg(
-        F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands")
+        F.count(F.lit(1)).alias("copies"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("head"), F.first("n").alias("n"), F.first("bands").alias("bands")
     )
     classes = stored(classes.withColumn("cid", F.monotonically_increasing_id()))
     shared = classes.select("cid", F.explode("bands").alias("band"))
@@ -183,14 +186,15 @@ def join(
     among = met.select(F.explode("firsts").alias("a"), F.col("least").alias("b")).distinct()
     groups = components(met.select(F.col("cid").alias("a"), F.col("least").alias("b")).unionByName(among))
 
-    members = groups.join(classes.drop("bands"), F.col("node") == F.col("cid")).select("cid", "copies", "least", "h1", "h2", "n", F.col("label").alias("group"))
+    members = groups.join(classes.drop("bands"), F.col("node") == F.col("cid")).select("cid", "copies", "head", "h1", "h2", "n", F.col("label").alias("group"))
     members = stored(members)
     needed = F.ceil(F.greatest(F.sum("n") / block_shingles, F.count(F.lit(1)) / block_rows))
     blocks = stored(members.groupBy("group").agg(needed.cast("int").alias("blocks")))
     members = stored(members.join(blocks, "group"))
     # a merge join at every size, as the members grow with the corpus; texts are compressed for its shuffle
     keyed = packed(rows.withColumn("text_hash", F.xxhash64("text")))
-    heavy = keyed.hint("merge").join(members, keyed["doc_id"].eqNullSafe(members["least"])).mapInArrow(
+    same = keyed["doc_id"].eqNullSafe(members["head.doc_id"]) & (keyed["text_hash"] == members["head.text_hash"])
+    heavy = keyed.hint("merge").join(members, same).drop("head").mapInArrow(
         _heavy, "group long, blocks int, cid long, copies long, signature binary, shingles binary"
     )
     own = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
@@ -236,28 +240,36 @@ def join(
     links = stored(dealt.groupBy("group", "low", "high").applyInArrow(meet, "cid long, other long, links long"))
     joined = components(links.filter("other is not null").select(F.col("cid").alias("a"), F.col("other").alias("b")))
     counts = links.groupBy("cid").agg(F.sum("links").alias("links"))
-    known = classes.select("cid", "h1", "h2", "copies", "least").join(joined, F.col("cid") == F.col("node"), "left").join(counts, "cid", "left")
-    known = known.select("h1", "h2", "least", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("label", "cid").alias("label"))
+    known = classes.select("cid", "h1", "h2", "copies", "head").join(joined, F.col("cid") == F.col("node"), "left").join(counts, "cid", "left")
+    known = known.select("h1", "h2", "head", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("label", "cid").alias("label"))
+    known = stored(known)
+    heads = stored(known.groupBy("label").agg(F.min("head").alias("head")))
+    known = known.drop("head").join(heads, "label").select("h1", "h2", F.col("head.doc_id").alias("class_id"), F.col("head.text_hash").alias("head_hash"), "n_links")
     known = stored(known)
-    heads = stored(known.groupBy("label").agg(F.min("least").alias("class_id")))
-    known = stored(known.join(heads, "label").select("h1", "h2", "class_id", "n_links"))
-    out = sketch.filter("n > 0").select("doc_id", "text_hash", "h1", "h2").join(known, ["h1", "h2"]).select("doc_id", "text_hash", "class_id", "n_links")
-    alone = sketch.filter("n = 0").select("doc_id", "text_hash", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    out = sketch.filter("n > 0").select("doc_id", "text_hash", "h1", "h2").join(known, ["h1", "h2"]).select("doc_id", "text_hash", "class_id", "head_hash", "n_links")
+    alone = sketch.filter("n = 0").select("doc_id", "text_hash", F.col("doc_id").alias("class_id"), F.lit(None).cast("long").alias("head_hash"), F.lit(0).cast("long").alias("n_links"))
     return out.unionByName(alone)
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.8) -> DataFrame:
-    """One document of each class, the one with the least id, with all columns; texts without words all stay."""
-    classes = stored(join(docs, key, text, threshold))
-    wordless = ~F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    head = classes.filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    gone = classes.filter(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    twice = head.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(F.col("doc_id").alias("_id"))
-    gone, twice = stored(gone), stored(twice)
+    """One document of each class with all columns: its head, the least id (null last) and then the least text hash; texts without words all stay.
+
+    Of rows with the head's id and text the one whose columns come first as JSON stays.
+    """
+    classes = stored(join(docs, key, text, threshold).filter("head_hash is not null"))
+    is_head = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("text_hash") == F.col("head_hash"))
+    keys = F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")
+    gone = stored(classes.filter(~is_head).select(*keys))
+    twice = stored(classes.filter(is_head).groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*keys))
+
+    def named(rows: DataFrame, keys: DataFrame) -> Column:
+        return rows[key].eqNullSafe(keys["_id"]) & (F.xxhash64(rows[text]) == keys["_hash"])
+
     # merged at every size, as the rows to drop grow with the corpus
-    left = docs.hint("merge").join(gone, docs[key].eqNullSafe(gone["_id"]) & (F.xxhash64(docs[text]) == gone["_hash"]), "left_anti")
+    left = docs.hint("merge").join(gone, named(docs, gone), "left_anti")
     if twice.isEmpty():
         return left
-    repeated = left.join(twice, left[key].eqNullSafe(twice["_id"]), "left_semi")
-    single = left.join(twice, left[key].eqNullSafe(twice["_id"]), "left_anti")
-    return single.unionByName(repeated.filter(wordless)).unionByName(repeated.filter(~wordless).dropDuplicates([key]))
+    repeated, single = left.join(twice, named(left, twice), "left_semi"), left.join(twice, named(left, twice), "left_anti")
+    row = F.struct(*[F.col(c) for c in docs.columns])
+    first = repeated.groupBy(F.col(key).alias("_id"), F.col(text).alias("_text")).agg(F.min_by(row, F.to_json(row)).alias("_row"))
+    return single.unionByName(first.select("_row.*"))

@@ -150,6 +150,25 @@ def test_ngram_join(odd, block_rows):
     assert max(links.values()) > 3
 
 
+def test_keep_one_of_each_class(odd):
+    """Null and repeated ids: classes found by brute force, of each the head, of equal rows one."""
+    other = odd.sparkSession.createDataFrame([(3, "five quite other words here", None, "s9", 1, 2, "r", "l"), (3, "some words of no other text", None, "s9", 1, 2, "r", "l")], SCHEMA)
+    docs = odd.unionByName(other)
+    rows = docs.collect()
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := (r.text or "").split()) else set() for r in rows]
+    root = list(range(len(rows)))
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        if sets[a] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+            root = [root[a] if x == root[b] else x for x in root]
+    hashes = {r.text: r.h for r in docs.selectExpr("text", "xxhash64(text) as h").collect()}
+    want = [tuple(r) for k, r in enumerate(rows) if not sets[k]]
+    for label in {root[k] for k in range(len(rows)) if sets[k]}:
+        want.append(min((tuple(r) for k, r in enumerate(rows) if root[k] == label), key=lambda r: (r[0] is None, r[0] or 0, hashes[r[1]], str(r))))
+    kept = ngram_join.keep_one(docs)
+    assert kept.columns == docs.columns and rows_of(kept, *docs.columns) == sorted(want, key=str)
+    assert sum(r[0] is None and bool((r[1] or "").split()) for r in want) > 1 and sum(r[0] == 3 for r in want) > 2
+
+
 def test_pruning_never_drops_what_may_reach_the_threshold():
     assert ngram_join.fewest_equal(16, 0.8, 1e-7) <= 6 and ngram_join.fewest_equal(96, 0.8, 1e-7) >= 45
 
