@@ -8,6 +8,8 @@ together with one representative of every settled range that they may meet. At s
 
 All steps are counts by name, which Spark combines before the shuffle, and joins with stored tables, which it can split;
 no group of equal names is ever gathered in a task. Decisions rest on both names, 128 bits.
+
+A text is told from others by its id and its 64-bit hash, which go with every range; ids may be null or repeated.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ _KEY = ["doc_id", "text_hash"]
 
 
 def row_schema(kind: DataType) -> str:
-    return f"a long, c long, doc_id {kind.simpleString()}, at long"
+    return f"a long, c long, doc_id {kind.simpleString()}, text_hash long, at long"
 
 
 def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -34,19 +36,15 @@ def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
 
 
-def _at(text_hash: np.ndarray, lo: np.ndarray, hi: np.ndarray, asks: np.ndarray) -> np.ndarray:
-    """One number for where a range is: asks (1 bit), text hash (23), length (8), begin (32). Shuffled rows stay short.
-
-    The hash only tells texts with one id apart.
-    """
-    return (asks.astype(np.int64) << 63) | ((text_hash & 0x7FFFFF) << 40) | ((hi - lo) << 32) | lo
+def _at(lo: np.ndarray, hi: np.ndarray, asks: np.ndarray) -> np.ndarray:
+    """One number for where in its text a range is: asks (1 bit), length (31), begin (32). Shuffled rows stay short."""
+    return (asks.astype(np.int64) << 63) | ((hi - lo) << 32) | lo
 
 
 def placed(rows: DataFrame) -> DataFrame:
     """doc_id, text_hash, lo, hi, asks of rows with `at`."""
-    lo, length = F.col("at").bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned("at", 32).bitwiseAND(0xFF)
-    text_hash = F.shiftrightunsigned("at", 40).bitwiseAND(0x7FFFFF)
-    return rows.select("doc_id", text_hash.alias("text_hash"), lo.alias("lo"), (lo + length).alias("hi"), (F.col("at") < 0).alias("asks"))
+    lo, length = F.col("at").bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned("at", 32).bitwiseAND(0x7FFFFFFF)
+    return rows.select(*_KEY, lo.alias("lo"), (lo + length).alias("hi"), (F.col("at") < 0).alias("asks"))
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -77,12 +75,12 @@ def unpacked(batch: pa.RecordBatch, most: int = 1 << 21) -> Iterator[tuple[pa.Re
 
 
 def _same(left: DataFrame, right: DataFrame) -> Column:
-    return left["doc_id"].eqNullSafe(right["_id"]) & (left["text_hash"].bitwiseAND(0x7FFFFF) == right["_hash"])
+    return left["doc_id"].eqNullSafe(right["_id"]) & (left["text_hash"] == right["_hash"])
 
 
 def with_ranges(docs: DataFrame, ranges: DataFrame, how: str) -> DataFrame:
-    """Packed rows joined with the list of their ranges (lo, hi, asks)."""
-    lists = ranges.groupBy(*_KEY).agg(F.collect_list(F.struct("lo", "hi", "asks")).alias("ranges"))
+    """Packed rows joined with the list of their ranges (lo, hi, asks). Copies have the same ranges, which are listed once."""
+    lists = ranges.groupBy(*_KEY).agg(F.collect_set(F.struct("lo", "hi", "asks")).alias("ranges"))
     lists = stored(lists.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "ranges"))
     rows = packed(docs)
     return rows.join(lists, _same(rows, lists), how).drop("_id", "_hash")
@@ -97,14 +95,14 @@ def settle(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     twice = rows.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.max(asks).alias("any")).filter("n > 1 and any").select(F.col("a").alias("_a"))
     twice = stored(twice)
     met = stored(rows.join(twice, F.col("a") == F.col("_a")).drop("_a"))
-    whole = met.groupBy("a", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "at")).alias("one")).filter("n > 1")
+    whole = met.groupBy("a", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*_KEY, "at")).alias("one")).filter("n > 1")
     whole = stored(whole.select(F.col("a").alias("_a"), F.col("c").alias("_c"), "one"))
     found = stored(met.join(whole.select("_a", "_c"), (F.col("a") == F.col("_a")) & (F.col("c") == F.col("_c")), "left"))
     marks = placed(found.filter(F.col("_a").isNotNull() & asks))
-    left = found.filter("_a is null").select("a", "doc_id", "at")
+    left = found.filter("_a is null").select("a", *_KEY, "at")
     open_ = stored(left.filter(asks).select(F.col("a").alias("_a")).distinct())
     quiet = F.col("at").bitwiseAND((1 << 63) - 1).alias("at")
-    others = left.filter(~asks).unionByName(whole.select(F.col("_a").alias("a"), "one.doc_id", "one.at").select("a", "doc_id", quiet))
+    others = left.filter(~asks).unionByName(whole.select(F.col("_a").alias("a"), "one.*").select("a", *_KEY, quiet))
     others = others.join(open_, F.col("a") == F.col("_a"), "left_semi")
     return marks, placed(left.filter(asks).unionByName(others))
 
@@ -143,6 +141,6 @@ def rescan(rows: DataFrame, cut: Callable[[pa.Array, list], tuple], kind: DataTy
 
 
 def _out(part: pa.RecordBatch, of: np.ndarray, names: list[np.ndarray], lo: np.ndarray, hi: np.ndarray, asks: np.ndarray) -> pa.RecordBatch:
-    at = _at(part.column("text_hash").to_numpy()[of], lo, hi, asks)
     a, c = (pa.array(x.view("int64")) for x in names)
-    return pa.RecordBatch.from_arrays([a, c, part.column("doc_id").take(pa.array(of)), pa.array(at)], ["a", "c", "doc_id", "at"])
+    keys = [part.column(k).take(pa.array(of)) for k in _KEY]
+    return pa.RecordBatch.from_arrays([a, c, *keys, pa.array(_at(lo, hi, asks))], ["a", "c", *_KEY, "at"])

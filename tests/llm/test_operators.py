@@ -12,7 +12,7 @@ import pytest
 
 import __spark_entry__ as entry_module
 from compare import connect, duck_result, spark_result
-from tenorbook.llm import decontamination, language_id, mixing, ngram_join, quality, queries, substring_dedup, suffix_dedup, token_counts, topk_search, warc
+from tenorbook.llm import decontamination, language_id, mixing, ngram_join, quality, queries, repeats, substring_dedup, suffix_dedup, token_counts, topk_search, warc
 from tenorbook.ship import ship
 
 FOLDER = "/root/testdata/sf0.001"
@@ -89,6 +89,29 @@ def test_suffix_dedup(odd):
     assert rows_of(suffix_dedup.dedupe(odd), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == sorted(want, key=str)
 
 
+def test_texts_without_ids_keep_their_own_ranges(spark):
+    """Two texts without an id whose hashes agree in 23 bits: only one of them has the passage of a third."""
+    ship(spark)
+    passage = " ".join(f"passageword{i}" for i in range(40))
+    pool = [(None, f"a{k} {passage}", True) for k in range(8192)] + [(None, " ".join(f"b{k}x{i}" for i in range(60)), False) for k in range(8192)]
+    frame = spark.createDataFrame(pool, "doc_id long, text string, dirty boolean").selectExpr("text", "dirty", "xxhash64(text) & 8388607 as h")
+    by = {r.h: r.text for r in frame.filter("dirty").collect()}
+    pairs = [(by[r.h], r.text) for r in frame.filter("not dirty").collect() if r.h in by]
+    docs = spark.createDataFrame([(None, pairs[0][0]), (None, pairs[0][1]), (1, passage)], "doc_id long, text string")
+    found = {tuple(r) for r in substring_dedup.dedupe(docs).select("doc_id", "n_words", "n_removed").collect()}
+    assert found == {(None, 41, 40), (None, 60, 0), (1, 40, 40)}
+    dirty, clean = (len(t) for t in pairs[0])
+    found = {tuple(r) for r in suffix_dedup.dedupe(docs).select("doc_id", "n_bytes", "n_removed").collect()}
+    assert found == {(None, dirty, len(passage)), (None, clean, 0), (1, len(passage), len(passage))}
+
+
+def test_ranges_of_copies_are_listed_once(spark):
+    ship(spark)
+    rows = repeats.keyed(spark.createDataFrame([(None, "a b c")] * 5, "doc_id long, text string"), "doc_id", "text")
+    lists = repeats.with_ranges(rows, rows.selectExpr("doc_id", "text_hash", "0L as lo", "1L as hi", "true as asks"), "left").collect()
+    assert [len(r.ranges) for r in lists] == [1] * 5
+
+
 def test_deep_shallow_order():
     import numpy as np
 
