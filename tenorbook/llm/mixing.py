@@ -15,7 +15,8 @@ as one stream of words, cut into blocks. A quota of several times the shard take
 rest is a seeded, evenly spaced choice of blocks, so what a document gives follows from its place in the
 stream by arithmetic: no row per block is made.
 
-A null text has no words; null is a source of its own, after all others. Equal rows stay apart and are treated alike.
+A null text has no words; null is a source of its own, after all others. Ids may be null or repeated: a text is known by
+its id, source and hash. Rows with all three equal stand side by side in the stream, as one entry with a number of copies.
 An empty table gives an empty result. Only the named columns are read.
 """
 
@@ -80,7 +81,7 @@ def targets(sources: DataFrame, weights: Sequence[float], share: float, limit: f
     return rows.select("source", "source_size", "rank", target.alias("target"))
 
 
-def mix(
+def _entries(
     docs: DataFrame,
     key: str = "doc_id",
     text: str = "text",
@@ -92,9 +93,10 @@ def mix(
     shard_words: int = 1 << 18,
     seed: int = 20240229,
 ) -> DataFrame:
-    """One row per document: doc_id, size, source, source_size, target of its source, and `taken` words."""
-    sized = stored(docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")))
-    totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    """One row per entry, `copies` equal rows: doc_id, source, text_hash, size, source_size, target of its source, and what gives `_given`."""
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), F.xxhash64(text).alias("text_hash"), word_count(F.col(text)).alias("size"))
+    sized = stored(rows.groupBy("doc_id", "source", "text_hash", "size").agg(F.count(F.lit(1)).alias("copies")))
+    totals = sized.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"))
     dealt = targets(totals, weights, share, limit)
     budget = F.round(F.sum("target").over(Window.partitionBy(F.lit(0))) / block).cast("long")
     dealt = apportion(dealt.withColumn("_seats", budget), [], ["rank"], "target", "_seats", "blocks")
@@ -103,10 +105,10 @@ def mix(
 
     own = sized.withColumnRenamed("source", "_source").join(sources, F.col("_source").eqNullSafe(F.col("source")))
     own = own.select(
-        "doc_id", "size", "source", "source_size", "target", "rank", "blocks",
-        F.pmod(F.xxhash64(F.lit(seed), "doc_id"), "_many").alias("shard"),
+        "doc_id", "text_hash", "size", "copies", "source", "source_size", "target", "rank", "blocks",
+        F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text_hash"), "_many").alias("shard"),
     )
-    shards = own.groupBy("rank", "blocks", "shard").agg(F.sum("size").alias("words"))
+    shards = own.groupBy("rank", "blocks", "shard").agg(F.sum(F.col("size") * F.col("copies")).alias("words"))
     shards = shards.withColumn("part", F.floor(F.col("shard") / FAN))
     parts = shards.groupBy("rank", "blocks", "part").agg(F.sum("words").alias("words"))
     parts = apportion(parts, ["rank"], ["part"], "words", "blocks", "part_blocks").select("rank", "part", "part_blocks")
@@ -120,25 +122,62 @@ def mix(
     )
     shards = stored(shards)
 
-    stream = Window.partitionBy("rank", "shard").orderBy(F.xxhash64(F.lit(seed + 2), "doc_id"), "doc_id", "size")
-    placed = own.withColumn("_end", F.sum("size").over(stream.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    stream = Window.partitionBy("rank", "shard").orderBy(F.xxhash64(F.lit(seed + 2), "doc_id", "text_hash"), "doc_id", "text_hash", "size")
+    placed = own.withColumn("_end", F.sum(F.col("size") * F.col("copies")).over(stream.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     placed = placed.join(shards, (F.col("rank") == F.col("_rank")) & (F.col("shard") == F.col("_shard")))
 
+    return placed.withColumn("_begin", F.col("_end") - F.col("size") * F.col("copies")).withColumn("_block", F.lit(block))
+
+
+def _given(begin: Column, end: Column) -> Column:
+    """Words that the stretch from begin to end of an entry's stream gives."""
+    n, rest, turn, block = (F.col(c) for c in ("n", "rest", "turn", "_block"))
+
     def chosen(j: Column) -> Column:  # blocks chosen before block j
-        n, rest, turn = F.col("n"), F.col("rest"), F.col("turn")
         return F.floor((j + turn) * rest / n) - F.floor(turn * rest / n)
 
     def given(x: Column) -> Column:  # words in the chosen blocks before word x of the stream
         j = F.floor(x / block)
         return chosen(j) * block + (chosen(j + 1) - chosen(j)) * (x - j * block)
 
-    taken = F.col("times") * F.col("size") + given(F.col("_end")) - given(F.col("_end") - F.col("size"))
-    return placed.select("doc_id", "size", "source", "source_size", "target", taken.cast("long").alias("taken"))
+    return (F.col("times") * (end - begin) + given(end) - given(begin)).cast("long")
+
 
+def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options: object) -> DataFrame:
+    """One row per document: doc_id, size, source, source_size, target of its source, and `taken` words."""
+    entries = _entries(docs, key, text, source, **options)
+    each = entries.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("copies").cast("int") - 1)))
+    begin = F.col("_begin") + F.col("_copy") * F.col("size")
+    return each.select("doc_id", "size", "source", "source_size", "target", _given(begin, begin + F.col("size")).alias("taken"))
+
+
+def chosen(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", share_rows: int = 4096, **options: object) -> DataFrame:
+    """The documents in the mix with all their columns, and their `size` and `taken` words.
 
-def chosen(docs: DataFrame, key: str = "doc_id", text: str = "text", **options: object) -> DataFrame:
-    """The documents in the mix with all their columns, and their `size` and `taken` words; rows with equal keys share what their key gets."""
-    shares = mix(docs, key, text, **options).groupBy("doc_id", "size").agg(F.sum("taken").alias("_all"), F.count(F.lit(1)).alias("_n"))
-    shares = stored(shares.select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.floor(F.col("_all") / F.col("_n")).alias("_taken")))
-    joined = docs.join(shares, docs[key].eqNullSafe(shares["_id"]) & (word_count(docs[text]) == shares["_size"]))
-    return joined.filter(shares["_taken"] > 0).select(*[docs[c] for c in docs.columns], shares["_size"].alias("size"), shares["_taken"].alias("taken"))
+    Rows equal in id, source and text share the words of all of them; what does not divide goes, a word a row, to some of them.
+    These are numbered in lots of about `share_rows` rows, so that many copies never meet in one task.
+    """
+    entries = _entries(docs, key, text, source, **options).withColumn("_all", _given(F.col("_begin"), F.col("_end"))).filter("_all > 0")
+    shares = stored(
+        entries.select(
+            F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_hash").alias("_hash"), F.col("size").alias("_size"),
+            F.floor(F.col("_all") / F.col("copies")).alias("_taken"), (F.col("_all") % F.col("copies")).alias("_over"), F.col("copies").alias("_copies"),
+        )
+    )
+    named = docs[key].eqNullSafe(shares["_id"]) & docs[source].eqNullSafe(shares["_source"]) & (F.xxhash64(docs[text]) == shares["_hash"])
+    own, size, taken = [docs[c] for c in docs.columns], shares["_size"].alias("size"), shares["_taken"]
+    joined = docs.join(shares, named)
+    even = joined.filter((shares["_over"] == 0) & (taken > 0)).select(*own, size, taken.alias("taken"))
+    if shares.filter("_over > 0").isEmpty():
+        return even
+    lot = F.floor(F.rand() * F.ceil(shares["_copies"] / share_rows)).alias("lot")
+    mine = F.struct(shares["_id"].alias("id"), shares["_source"].alias("source"), shares["_hash"].alias("hash"))
+    odd = stored(joined.filter(shares["_over"] > 0).select(F.struct(*own).alias("row"), mine.alias("entry"), lot, size, taken.alias("taken"), shares["_over"].alias("over")))
+    lots = odd.groupBy("entry", "lot").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("entry").orderBy("lot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    lots = lots.select(F.col("entry").alias("_entry"), F.col("lot").alias("_lot"), before.alias("before"))
+    place = F.row_number().over(Window.partitionBy("entry", "lot").orderBy("lot"))
+    more = odd.withColumn("place", place).join(lots, F.col("entry").eqNullSafe(F.col("_entry")) & (F.col("lot") == F.col("_lot")))
+    gets = F.col("taken") + F.when(F.col("before") + F.col("place") <= F.col("over"), 1).otherwise(0)
+    more = more.select("row", "size", gets.alias("gets")).filter("gets > 0")
+    return even.union(more.select("row.*", "size", "gets"))

@@ -73,6 +73,25 @@ def test_mix(odd):
         assert sum(r.taken for r in g) == pytest.approx(target[s], abs=40)
 
 
+def test_mix_of_rows_without_ids_keeps_each_source(spark):
+    """Null ids, equal sizes, copies: every source gives the words that mix() takes from it; copies differ by a word at most."""
+    rng = random.Random(11)
+    rows = [(None, " ".join(rng.choice("abcdef") for _ in range(20)), f"s{k % 3}", 5) for k in range(300)]
+    rows += [(None, "some text many times over and over again", f"s{k % 2}", 5) for k in range(150)] + [(None, None, "s0", 5)] * 20
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size int")
+    want, got, copies = Counter(), Counter(), defaultdict(list)
+    for r in mixing.mix(docs, shard_words=1000).collect():
+        want[r.source] += r.taken
+    kept = mixing.chosen(docs, share_rows=16, shard_words=1000)
+    assert kept.columns == [*docs.columns, "size", "taken"]
+    for _, text, source, _, size, taken in map(tuple, kept.collect()):
+        assert size == len(text.split()) and 0 < taken <= 2 * size
+        got[source] += taken
+        copies[source, text].append(taken)
+    assert got == +want and len(want) == 3
+    assert all(max(c) - min(c) <= 1 for c in copies.values()) and any(max(c) > min(c) for c in copies.values())
+
+
 def test_apportion_is_highest_quotients(spark):
     votes = {1: 53.0, 2: 24.0, 3: 23.0, 4: 0.0, 5: 24.0}
     seats = Counter(p for _, p in sorted(((-v / (2 * k + 1), p) for p, v in votes.items() for k in range(50) if v))[:37])
