@@ -7,7 +7,8 @@ occurs nowhere else, none is. The ranges in between (at the ends of repeated pas
 together with one representative of every settled range that they may meet. At single windows nothing is left.
 
 All steps are counts by name, which Spark combines before the shuffle, and joins with stored tables, which it can split;
-no group of equal names is ever gathered in a task. Decisions rest on both names, 128 bits.
+no group of equal names is ever gathered in a task. Decisions rest on both names; what `a` does not cover of a range
+rests on the 64 bits of `c`.
 
 A text is told from others by its id and its 64-bit hash, which go with every range; ids may be null or repeated.
 """
