@@ -1,0 +1,89 @@
+"""Counts of the quality rules against brute force, and the learned list on held-out documents."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tenorbook.llm import quality_rules
+from tenorbook.llm.common import held_out
+from tenorbook.ship import ship
+
+NAMES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def by_hand(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+    again = {i + d for i in range(len(words) - 4) if windows[tuple(words[i : i + 5])] > 1 for d in range(5)}
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            dup += line in seen
+            seen.add(line)
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(again)
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    ship(spark)
+    rng = random.Random(4)
+    texts = [None, "", " \t\n\r", "é 日本 🎉", "a b c d e", "a a a a a a a a a a", "x\nx\n x\n\n\nx ", "# $ | <> *%&" * 40, "\x0b\x0cq r", "word"]
+    texts += [" ".join(rng.choice("abcd") for _ in range(rng.randint(1, 60))) for _ in range(40)]
+    texts += ["\n".join(rng.choice(["one line.", " ", "two", "", "one line. "]) for _ in range(30)) for _ in range(10)]
+    texts += [" ".join(f"w{rng.randrange(9000)}" for _ in range(40000)), *["copy of a text with more than ten words in it, in all."] * 4]
+    rows = [(k if k % 7 else None, t, k % 5, "x", True) for k, t in enumerate(texts)] + [(3, texts[-1], 9, "y", False)]
+    return spark.createDataFrame(rows, "doc_id long, text string, n_words int, rule string, kept boolean").repartition(3)
+
+
+def test_counts(spark, odd):
+    labels = spark.createDataFrame([(3, 0, "l"), (3, 1, "m"), (None, 0, "n"), (5, None, "o")], "doc_id long, quality int, rule string")
+    found = quality_rules.judge(odd, labels)
+    want = []
+    for r in odd.collect():
+        n = by_hand(r.text)
+        failed = n[0] < 10 or 100 * n[4] > 20 * n[0]
+        want.append((r.doc_id, *n, failed))
+    assert sorted((tuple(r) for r in found.select("doc_id", *NAMES, "base_failed").collect()), key=str) == sorted(want, key=str)
+    assert found.filter("kept AND (base_failed OR rule > 0)").count() == 0 and found.filter("NOT base_failed AND rule = 0 AND NOT kept").count() == 0
+
+
+def test_without_labels_the_base_decides(spark, odd):
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    assert quality_rules.judge(odd, labels).filter("kept = base_failed").count() == 0
+    assert quality_rules.judge(odd.limit(0), labels).count() == 0
+
+
+def test_held_out_documents(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    told = quality_rules.judge(docs, labels).join(labels, "doc_id").filter(held_out())
+    assert told.filter("(quality = 1) = kept").count() >= 0.95 * told.count()
+    passed = told.filter("quality = 1 AND NOT base_failed")
+    assert passed.filter("NOT kept").count() <= 0.02 * passed.count()
+
+
+def test_cover_finds_a_planted_conjunction(spark):
+    """Bad where one measure is high and another low; noise elsewhere. The list says so, in its words and as a Spark condition."""
+    rng = np.random.default_rng(2)
+    x = {m: rng.random(3000) for m in quality_rules.MEASURES}
+    bad = (x["upper_share"] >= 0.7) & (x["stops_per_word"] < 0.4)
+    rules = quality_rules.cover(x, bad)
+    hit = np.zeros(3000, bool)
+    for rule in rules.rules:
+        rows = np.arange(3000)
+        for m, up, at in rule.terms:
+            rows = rows[(x[m][rows] >= at) == up]
+        hit[rows] = True
+    assert (hit & bad).sum() >= 0.95 * bad.sum() and (hit & ~bad).sum() <= 0.02 * bad.sum()
+    assert {(m, up): round(at, 2) for m, up, at in rules.rules[0].terms} == {("upper_share", True): 0.7, ("stops_per_word", False): 0.4}
+    none = quality_rules.cover(x, rng.random(3000) < 0.02)
+    assert not none.rules  # what no threshold tells apart makes no rule
+    row = {n: 10 for n in quality_rules.COUNTS} | {"word_chars": 100, "n_upper": 80, "n_stops": 1}
+    frame = spark.createDataFrame([row]).select(rules.condition().alias("rule"))
+    assert frame.first().rule == 1
