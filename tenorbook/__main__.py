@@ -8,8 +8,9 @@ import datetime as dt
 from pyspark.sql import SparkSession
 
 from tenorbook.config import Config
-from tenorbook.plans.build import publish
+from tenorbook.plans.publishing import publish
 from tenorbook.sources.files import Sources
+from tenorbook.sources.versions import manifest
 
 
 def _edge(text: str) -> tuple[int, str]:
@@ -32,11 +33,14 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--active-status", default=default.active_status)
     parser.add_argument("--sight-type", default=default.sight_type)
     parser.add_argument("--rate-type", default=default.rate_type)
+    parser.add_argument("--round-rates", action="store_true", help="round rates that --rate-type cannot hold")
     parser.add_argument("--sight-bucket", default=default.sight_bucket)
     parser.add_argument("--last-bucket", help="label beyond the last edge")
     parser.add_argument(
         "--bucket", action="append", type=_edge, metavar="DAYS=LABEL", help="one per edge, rising"
     )
+    parser.add_argument("--layer", action="append", help="intermediate, mart; default: both")
+    parser.add_argument("--force", action="store_true", help="write what is fresh, too")
     return parser.parse_args(argv)
 
 
@@ -51,16 +55,17 @@ def main(argv: list[str] | None = None) -> None:
         active_status=args.active_status,
         sight_type=args.sight_type,
         rate_type=args.rate_type,
+        round_rates=args.round_rates,
         bucket_edges=tuple(args.bucket) if args.bucket else Config.bucket_edges,
         sight_bucket=args.sight_bucket,
         last_bucket=args.last_bucket,
     )
     spark = SparkSession.builder.appName("tenorbook").getOrCreate()
-    published = publish(
-        spark, Sources.from_files(spark, args.source, args.format), args.out, cfg
-    )
-    for name in published:
-        print(f"{args.out}/{name}")
+    sources = Sources.from_files(spark, args.source, args.format)
+    publish(spark, sources, args.out, cfg, args.layer, args.force)
+    for name, entry in manifest(spark, args.out).items():
+        if entry.path:
+            print(f"{args.out}/{entry.path} {entry.row_count}")
 
 
 if __name__ == "__main__":

@@ -27,6 +27,8 @@ class Config:
     active_status: str = "VALIDATED"
     sight_type: str = "SIGHT_DEP"
     rate_type: str = RATE_TYPE
+    #: Round rates with more places than rate_type instead of failing.
+    round_rates: bool = False
     bucket_edges: tuple[tuple[int, str], ...] = fixed_values.BUCKET_EDGES
     sight_bucket: str = fixed_values.SIGHT_BUCKET
     #: Label beyond the last edge; to be given with edges of one's own.

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tenorbook.functions.labels import region_of
 from tenorbook.operators.dimensions import one_per_code
 
 ACTIVE = "VALIDATED"
@@ -77,6 +78,29 @@ def exposure_by_region(
     return _roll_up(totals.join(regions, "cpty_code", "left"), "region")
 
 
+def counterparty_book(deals: DataFrame, status: str | None = ACTIVE) -> DataFrame:
+    """`exposure_by_counterparty` straight from converted deals, which carry names and countries.
+
+    Totals of the state asked for and the last name of each code, taken over all states as in the dimension, come from one aggregate, so
+    the deals are read once and no dimension is built to be joined.
+    """
+    counts = F.lit(True) if status is None else F.coalesce(F.col("deal_status") == status, F.lit(False))
+    named = F.when(F.col("cpty_code").isNotNull(), F.struct("cpty_name", "cpty_country"))  # a NULL code names nobody
+    totals = deals.groupBy("cpty_code").agg(
+        F.max(named).alias("last"),
+        F.count_if(counts).alias("deal_count"),
+        F.sum(F.when(counts, F.col("nominal_amount_sdr"))).alias("total_sdr"),
+    )
+    kept = totals.filter("deal_count > 0").select("cpty_code", "last.*", "deal_count", "total_sdr")
+    region = F.when(F.col("cpty_code").isNotNull(), region_of("cpty_country"))
+    return kept.select("cpty_code", "cpty_name", "cpty_country", region.alias("region"), "deal_count", "total_sdr")
+
+
+def region_book(deals: DataFrame, status: str | None = ACTIVE) -> DataFrame:
+    """`exposure_by_region` straight from converted deals."""
+    return _roll_up(counterparty_book(deals, status), "region")
+
+
 def region_share(region_exposure: DataFrame) -> DataFrame:
     """Share of each region in the SDR total.
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tenorbook import fixed_values
 from tenorbook.operators.dimensions import static_relation
@@ -55,17 +56,28 @@ def grain_report(relations: Mapping[str, tuple[DataFrame, tuple[str, ...]]]) ->
 def orphan_keys(fct: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Foreign-key values without a dimension row, with the deals that use them.
 
-    All six keys are unpivoted and counted in a single pass over the fact, and only
-    the distinct values meet the dimensions. NULL keys refer to nothing and are no
-    orphans. A left join with a marker stands in for the anti join: Spark would push
-    an anti join below the count, onto six rows per deal.
+    All six keys become rows of one pass over the fact and are counted in their own
+    type, text or whole number; only the distinct values are turned into text and meet
+    the dimensions. NULL keys refer to nothing and are no orphans. A left join with a
+    marker stands in for the anti join: Spark would push an anti join below the count,
+    onto six rows per deal.
     """
+
+    def entry(key: str) -> Column:
+        is_text = isinstance(fct.schema[key].dataType, StringType)
+        as_text, as_number = (F.col(key), None) if is_text else (None, F.col(key).cast("long"))
+        return F.struct(
+            F.lit(key).alias("foreign_key"),
+            (F.lit(None).cast("string") if as_text is None else as_text).alias("key_text"),
+            (F.lit(None).cast("long") if as_number is None else as_number).alias("key_number"),
+        )
+
     used = (
-        fct.select(*[F.col(key).cast("string").alias(key) for key in FOREIGN_KEYS])
-        .unpivot([], list(FOREIGN_KEYS), "foreign_key", "key_value")
-        .filter(F.col("key_value").isNotNull())
-        .groupBy("foreign_key", "key_value")
+        fct.select(F.inline(F.array(*[entry(key) for key in FOREIGN_KEYS])))
+        .filter(F.col("key_text").isNotNull() | F.col("key_number").isNotNull())
+        .groupBy("foreign_key", "key_text", "key_number")
         .agg(F.count("*").alias("deal_count"))
+        .select("foreign_key", F.coalesce("key_text", F.col("key_number").cast("string")).alias("key_value"), "deal_count")
     )
     known = _union(
         dims[name].select(

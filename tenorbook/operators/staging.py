@@ -60,13 +60,38 @@ def stage_deals(raw: DataFrame) -> DataFrame:
     )
 
 
-def stage_fx_rates(raw: DataFrame, rate_type: str = RATE_TYPE) -> DataFrame:
-    """Typed rates. The default keeps six places; a feed with more needs a wider type.
+def _exact(raw: Column, rate_type: str) -> tuple[Column, Column]:
+    """A rate as rate_type, and whether that changes its value. Text is judged by all its digits."""
+    typed = raw.try_cast(rate_type)
+    text = F.trim(raw.cast("string"))
+    # Digits behind the point that are not trailing noughts; the cast rounds away what exceeds its places.
+    places = F.length(F.regexp_extract(text, r"^[+-]?[0-9]*\.([0-9]*?)0*\z", 1))
+    kept = int(rate_type.rstrip(")").split(",")[1]) if "," in rate_type else 0
+    whole = raw.try_cast("decimal(38,18)")
+    lost = typed.isNotNull() & ((places > kept) | F.coalesce(whole != typed, F.lit(False)))
+    return typed, lost
 
-    Up to 17 digits in all, the product with an amount keeps every place.
+
+def rate_losses(raw: DataFrame, rate_type: str = RATE_TYPE) -> DataFrame:
+    """Rates of the feed that rate_type cannot hold in full: rate_date, currency_code, raw_value, staged_value."""
+    typed, lost = _exact(F.col("sdr_per_unit"), rate_type)
+    return raw.filter(lost).select(
+        "rate_date", "currency_code", F.col("sdr_per_unit").cast("string").alias("raw_value"), typed.alias("staged_value")
+    )
+
+
+def stage_fx_rates(raw: DataFrame, rate_type: str = RATE_TYPE, round_rates: bool = False) -> DataFrame:
+    """Typed rates. A rate with more places than rate_type fails the run, unless round_rates asks to round it.
+
+    The default type keeps six places. Up to 17 digits in all, the product with an amount keeps every place;
+    `rate_losses` lists the rates a type cannot hold.
     """
+    typed, lost = _exact(F.col("sdr_per_unit"), rate_type)
+    if not round_rates:
+        told = F.concat(F.lit("rate "), F.col("sdr_per_unit").cast("string"), F.lit(f" does not fit {rate_type}; set a wider rate_type or round_rates"))
+        typed = F.when(lost, F.raise_error(told)).otherwise(typed)
     return raw.select(
         _day(raw, "rate_date").alias("rate_date"),
         "currency_code",
-        F.col("sdr_per_unit").try_cast(rate_type).alias("sdr_per_unit"),
+        typed.alias("sdr_per_unit"),
     )

@@ -60,6 +60,21 @@ def with_date_role(fct: DataFrame, calendar: DataFrame, role: str) -> DataFrame:
     return fct.join(renamed, key, "left").select(*fct.columns, *renamed.columns[1:])
 
 
+def slice_by_calendar(fct: DataFrame, calendar: DataFrame, role: str, **wanted) -> DataFrame:
+    """Deals whose trade, value or maturity day the calendar slicers keep.
+
+    The first and last day kept are read from the calendar when the slice is composed, two numbers whatever the size of the book, and
+    become a range filter on the date key, which the scan takes to skip files and row groups. Days need not lie next to each
+    other: the semi join behind the range decides.
+    """
+    if role not in DATE_ROLES:
+        raise ValueError(f"role must be one of {DATE_ROLES}, not {role!r}")
+    days = slice_by(calendar, **wanted).select("date_key")
+    first, last = days.agg(F.min("date_key"), F.max("date_key")).first()
+    key = F.col(f"{role}_date_key")
+    return fct.filter(key.between(F.lit(first), F.lit(last))).join(days, key == F.col("date_key"), "left_semi")
+
+
 def slice_by(frame: DataFrame, **wanted) -> DataFrame:
     """Keeps the rows whose columns equal a value, or are among a list of values."""
     for column, value in wanted.items():

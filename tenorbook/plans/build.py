@@ -13,7 +13,7 @@ from tenorbook.operators.conversion import to_sdr
 from tenorbook.operators.fact import fact_deposits
 from tenorbook.operators.ladder import maturity_ladder
 from tenorbook.operators.staging import stage_deals, stage_fx_rates
-from tenorbook.sources.files import Sources, write_tables
+from tenorbook.sources.files import Sources
 
 LAYERS = {
     "staging": ("stg_deals", "stg_fx_rates"),
@@ -45,7 +45,9 @@ class Models:
 
     @cached_property
     def stg_fx_rates(self) -> DataFrame:
-        return stage_fx_rates(self.sources.fx_rates, self.cfg.rate_type)
+        return stage_fx_rates(
+            self.sources.fx_rates, self.cfg.rate_type, self.cfg.round_rates
+        )
 
     @cached_property
     def int_deals_with_sdr(self) -> DataFrame:
@@ -104,28 +106,3 @@ def publish_views(frames: Mapping[str, DataFrame]) -> None:
     """Each frame as a temporary view of the same name."""
     for name, frame in frames.items():
         frame.createOrReplaceTempView(name)
-
-
-def publish(
-    spark: SparkSession, sources: Sources, out_dir: str, cfg: Config = Config()
-) -> dict[str, DataFrame]:
-    """Writes the converted deals and all marts, and returns the written tables.
-
-    `out_dir` is a folder all executors reach. The converted deals are written first
-    and the marts start from that table, likewise the ladder from the written fact:
-    the extracts are parsed and converted once, and a lost executor costs no more
-    than the step at hand.
-    """
-    models = Models(spark, sources, cfg)
-    published = {}
-    for name in (*LAYERS["intermediate"], *LAYERS["mart"]):
-        write_tables(
-            {name: getattr(models, name)},
-            out_dir,
-            partition_by={"mart_maturity_ladder": "as_of_date"},
-            cluster_by={"fct_currency_deposits": ("maturity_date_key", "deal_id")},
-        )
-        published[name] = spark.read.parquet(f"{out_dir}/{name}")
-        # What depends on this model from here on starts at the written table.
-        setattr(models, name, published[name])
-    return published

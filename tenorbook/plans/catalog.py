@@ -10,12 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenorbook.config import Config
-from tenorbook.operators import dimensions, exposure, ladder, quality, star
-from tenorbook.operators.staging import stage_fx_rates
-from tenorbook.plans.build import Models
-from tenorbook.schemas import ORDER_TABLES
-from tenorbook.sources.files import Sources
+from tenorbook.operators import balances, dimensions, exposure, ladder, quality, star
+from tenorbook.operators.staging import stage_deals, stage_fx_rates
+from tenorbook.plans.build import Models, publish_views
+from tenorbook.plans.publishing import publish
+from tenorbook.schemas import DEALS_RAW, ORDER_TABLES
+from tenorbook.sources.files import Sources, read_fx_rates, write_csv
+from tenorbook.sources.loading import load_deals, loaded_deals, rejected_lines
 from tenorbook.sources.order_book import deals_from_orders, fx_from_month_ends
+from tenorbook.sources.scratch import new_folder
+from tenorbook.sources.versions import published_counts, published_tables
 
 # A deal is valued two days after its order and matures within seven years of that.
 LONGEST_TERM = dt.timedelta(days=2 + 7 * 365)
@@ -155,19 +159,86 @@ def _by_fiscal_year(role: str) -> Callable[[Book], DataFrame]:
 
 
 def _by_region(b: Book) -> DataFrame:
-    return exposure.exposure_by_region(
-        b.fct, b["dim_counterparty"], b.config.active_status
-    )
+    return exposure.region_book(b["int_deals_with_sdr"], b.config.active_status)
 
 
 def _sliced_by_region(b: Book) -> DataFrame:
-    dated = star.with_date_role(b.fct, b["dim_date"], "value")
-    sliced = star.slice_by(dated, value_fiscal_year="FY1999-00", currency="USD")
+    dollars = star.slice_by(b.fct, currency="USD")
+    sliced = star.slice_by_calendar(dollars, b["dim_date"], "value", fiscal_year="FY1999-00")
     return exposure.exposure_by_region(
         sliced, b["dim_counterparty"], b.config.active_status
     )
 
 
+def _daily(b: Book) -> DataFrame:
+    return balances.daily_book(b.fct, b.config.as_of_start, b.book_end, b.config)
+
+
+def _stored_extracts(b: Book) -> str:
+    """Folder with both extracts as CSV files; every 211th deal's line is one field short, every 223rd one too long."""
+    folder = new_folder(b.spark, "extracts")
+    number = F.regexp_extract("deal_id", "([0-9]+)$", 1).cast("long")
+    fields = F.array(*[F.coalesce(c, F.lit("")) for c in DEALS_RAW.names])
+    dealt = F.when(number % 211 == 0, F.slice(fields, 1, len(DEALS_RAW.names) - 1)).when(number % 223 == 0, F.concat(fields, F.array(F.lit("extra"))))
+    line = F.array_join(dealt.otherwise(fields), ",")
+    # One text column whose name is the header line, written without quoting.
+    lines = b.sources.deals.select(line.alias(",".join(DEALS_RAW.names)))
+    lines.write.options(header=True, sep="\u0001", quote="").csv(f"{folder}/src_deals.csv")
+    write_csv(b.traded_fx_rates, f"{folder}/src_fx_rates.csv")
+    return folder
+
+
+def _loaded(b: Book, folder: str) -> str:
+    """Table loaded from the stored extract, twice, as a repeated delivery would be."""
+    table = f"{folder}/deals"
+    for _ in range(2):
+        load_deals(b.spark, f"{folder}/src_deals.csv", table, "first")
+    return table
+
+
+def _loaded_deals(b: Book) -> DataFrame:
+    return stage_deals(loaded_deals(b.spark, _loaded(b, _stored_extracts(b))))
+
+
+def _rejected_lines(b: Book) -> DataFrame:
+    return rejected_lines(b.spark, _loaded(b, _stored_extracts(b)))
+
+
+def _stored_fx_rates(b: Book) -> DataFrame:
+    folder = new_folder(b.spark, "rates")
+    write_csv(b.traded_fx_rates, f"{folder}/src_fx_rates.csv")
+    return stage_fx_rates(read_fx_rates(b.spark, f"{folder}/src_fx_rates.csv"), b.config.rate_type)
+
+
+def _published(b: Book) -> str:
+    """Folder with a version published from stored extracts."""
+    folder = new_folder(b.spark, "published")
+    write_csv(b.sources.deals, f"{folder}/in/src_deals.csv")
+    write_csv(b.sources.fx_rates, f"{folder}/in/src_fx_rates.csv")
+    publish(b.spark, Sources.from_files(b.spark, f"{folder}/in"), f"{folder}/out", b.config)
+    return f"{folder}/out"
+
+
+def _published_counts(b: Book) -> DataFrame:
+    counts = published_counts(b.spark, _published(b))
+    return counts.filter(F.col("relation").isin("src_deals", "stg_deals", "int_deals_with_sdr", "fct_currency_deposits"))
+
+
+def _published_sliced_by_region(b: Book) -> DataFrame:
+    tables = published_tables(b.spark, _published(b))
+    dollars = star.slice_by(tables["fct_currency_deposits"], currency="USD")
+    sliced = star.slice_by_calendar(dollars, tables["dim_date"], "value", fiscal_year="FY1999-00")
+    return exposure.exposure_by_region(sliced, tables["dim_counterparty"], b.config.active_status)
+
+
+def _published_columns(b: Book) -> DataFrame:
+    """Columns of the published views, with the rows of each, as a user of the views sees them."""
+    tables = published_tables(b.spark, _published(b))
+    publish_views(tables)
+    listed = quality.column_listing(b.spark, {name: b.spark.table(name) for name in tables})
+    return listed.join(quality.row_counts(tables), "relation")
+
+
 QUERIES: dict[str, Callable[[Book], DataFrame]] = {
     # sources and staging
     "src_deals": lambda b: b.sources.deals,
@@ -198,6 +269,9 @@ QUERIES: dict[str, Callable[[Book], DataFrame]] = {
     "ladder_deals_at_date": lambda b: ladder.deals_outstanding_at(
         b.fct, AS_OF, b.config
     ),
+    "point_in_time_ladder": lambda b: balances.point_in_time_ladder(b.fct, b.config),
+    "daily_book": _daily,
+    "monthly_average_book": lambda b: balances.monthly_average_book(_daily(b)),
     "avg_active_book": lambda b: ladder.average_active_book(b["mart_maturity_ladder"]),
     # exposure reports
     "exposure_by_region": _by_region,
@@ -212,8 +286,8 @@ QUERIES: dict[str, Callable[[Book], DataFrame]] = {
     "exposure_by_portfolio": lambda b: exposure.exposure_by_portfolio(
         b.fct, b.config.active_status
     ),
-    "exposure_by_counterparty": lambda b: exposure.exposure_by_counterparty(
-        b.fct, b["dim_counterparty"], b.config.active_status
+    "exposure_by_counterparty": lambda b: exposure.counterparty_book(
+        b["int_deals_with_sdr"], b.config.active_status
     ),
     "top_counterparties": lambda b: exposure.top_counterparties(
         b.fct, b["dim_counterparty"], status=b.config.active_status
@@ -238,6 +312,13 @@ QUERIES: dict[str, Callable[[Book], DataFrame]] = {
         b["stg_deals"], b.config.sight_type
     ),
     "dq_row_counts": _row_counts,
+    # loading and publishing; these write to the shared folder first
+    "loaded_deals": _loaded_deals,
+    "rejected_lines": _rejected_lines,
+    "stored_fx_rates": _stored_fx_rates,
+    "published_row_counts": _published_counts,
+    "published_columns": _published_columns,
+    "published_exposure_sliced": _published_sliced_by_region,
 }
 
 

@@ -268,6 +268,56 @@ def _cast_failure(column: str) -> str:
 
 _CALENDAR_KEYS = "SELECT date_key FROM fiscal_days WHERE full_date <= DATE '2001-08-31'"
 
+_BROKEN = "(regexp_extract(deal_id, '([0-9]+)$', 1)::bigint % 211 = 0 OR regexp_extract(deal_id, '([0-9]+)$', 1)::bigint % 223 = 0)"
+
+_DEAL_COLUMNS = (
+    "deal_id", "deal_type", "cpty_code", "cpty_name", "cpty_country", "trade_date", "value_date", "maturity_date", "currency",
+    "nominal_amount", "rate_pct", "deal_status", "portfolio", "book", "created_dt", "last_modified_dt",
+)
+
+
+def _line(columns: tuple[str, ...]) -> str:
+    return " || ',' || ".join(f"coalesce({c}, '')" for c in columns)
+
+
+_LIVE = """
+  SELECT d AS full_date, count(deal_id) AS deal_count, coalesce(sum(nominal_amount_sdr), 0)::decimal(38,8) AS total_sdr
+  FROM (SELECT unnest(generate_series((SELECT date_trunc('month', min(o_orderdate))::timestamp FROM orders),
+      (SELECT last_day(max(o_orderdate)::date)::timestamp FROM orders), INTERVAL 1 DAY))::date AS d)
+  LEFT JOIN (SELECT deal_id, nominal_amount_sdr, deal_type, strptime(value_date_key::varchar, '%Y%m%d')::date AS v,
+      strptime(maturity_date_key::varchar, '%Y%m%d')::date AS m FROM book WHERE value_date_key IS NOT NULL)
+    ON v <= d AND (deal_type = 'SIGHT_DEP' OR m > d)
+  GROUP BY d"""
+
+#: Columns of the published views, written down from the data model.
+_COLUMNS = {
+    "int_deals_with_sdr": "deal_id string, deal_type string, cpty_code string, cpty_name string, cpty_country string, trade_date date, value_date date,"
+    " maturity_date date, currency string, nominal_amount decimal(20,2), rate_pct decimal(10,6), rate_decimal decimal(16,11), deal_status string,"
+    " portfolio string, book string, fx_rate_date date, sdr_per_unit decimal(12,6), nominal_amount_sdr decimal(33,8), created_dt timestamp_ntz,"
+    " last_modified_dt timestamp_ntz",
+    "dim_counterparty": "cpty_code string, cpty_name string, cpty_country string, region string",
+    "dim_currency": "currency string, currency_name string, is_sdr_basket string",
+    "dim_date": "date_key int, full_date date, year int, month_num int, month_name string, quarter int, fiscal_year string, fiscal_quarter string",
+    "dim_product": "deal_type string, product_name string, product_description string",
+    "fct_currency_deposits": "deal_id string, deal_type string, cpty_code string, currency string, trade_date_key int, value_date_key int,"
+    " maturity_date_key int, nominal_amount decimal(20,2), nominal_amount_sdr decimal(33,8), rate_pct decimal(10,6), rate_decimal decimal(16,11),"
+    " deal_status string, portfolio string, book string, fx_rate_date date, sdr_per_unit decimal(12,6), created_dt timestamp_ntz,"
+    " last_modified_dt timestamp_ntz",
+    "mart_maturity_ladder": "maturity_bucket string, deal_count bigint, total_sdr decimal(38,8), as_of_date date",
+}
+_COUNTED = {"dim_currency": "currencies", "dim_product": "products", "dim_date": "calendar_days", "mart_maturity_ladder": "ladder"}
+
+
+def _columns() -> str:
+    rows = ", ".join(
+        f"('{name}', {n}, '{field.split(' ')[0]}', '{field.split(' ')[1]}')"
+        for name, fields in _COLUMNS.items()
+        for n, field in enumerate(fields.split(", "), 1)
+    )
+    counts = " UNION ALL ".join(f"SELECT '{n}' AS relation, count(*) AS row_count FROM {_COUNTED.get(n, n)}" for n in _COLUMNS)
+    return f"SELECT relation, position::bigint AS position, column_name, data_type, row_count FROM (VALUES {rows}) t(relation, position, column_name, data_type) JOIN ({counts}) USING (relation)"
+
+
 _QUERIES = {
     "src_deals": "SELECT * FROM src_deals",
     "src_fx_rates": "SELECT * FROM src_fx_rates",
@@ -319,6 +369,24 @@ _QUERIES = {
         {_quotient(_digits('sum(s)'), '(1000000 * count(s))', 2)}::decimal(38,2) AS average_sdr
       FROM (SELECT count(*) AS n, sum(nominal_amount_sdr) AS s FROM exposed
         GROUP BY as_of_date)""",
+    "point_in_time_ladder": """
+      SELECT as_of_date, maturity_bucket, count(*) AS deal_count, sum(e.nominal_amount_sdr) AS total_sdr
+      FROM exposed e JOIN fct_currency_deposits f USING (deal_id)
+      WHERE f.value_date_key <= strftime(as_of_date, '%Y%m%d')::int
+      GROUP BY as_of_date, maturity_bucket""",
+    "daily_book": _LIVE,
+    "monthly_average_book": f"""
+      SELECT last_day(full_date) AS month_end, count(*) AS days, sum(deal_count)::bigint AS deal_days,
+        sum(total_sdr) AS sdr_days,
+        {_quotient(_digits('sum(total_sdr)'), '(1000000 * count(*))', 2)}::decimal(38,2) AS average_sdr
+      FROM ({_LIVE}) GROUP BY last_day(full_date)""",
+    "loaded_deals": f"SELECT * FROM stg_deals WHERE NOT {_BROKEN}",
+    "rejected_lines": f"""
+      SELECT 'first' AS batch, CASE WHEN regexp_extract(deal_id, '([0-9]+)$', 1)::bigint % 211 = 0
+        THEN {_line(_DEAL_COLUMNS[:-1])} ELSE {_line(_DEAL_COLUMNS)} || ',extra' END AS malformed_line
+      FROM src_deals WHERE {_BROKEN}""",
+    "stored_fx_rates": "SELECT * FROM stg_fx_rates",
+    "published_columns": _columns(),
     "exposure_by_region": "SELECT * FROM region_totals",
     "exposure_by_region_sliced": """
       SELECT region, count(*) AS deal_count, sum(nominal_amount_sdr) AS total_sdr
@@ -433,6 +501,10 @@ _QUERIES = {
 }
 
 
+_QUERIES["published_row_counts"] = _QUERIES["dq_row_counts"]
+_QUERIES["published_exposure_sliced"] = _QUERIES["exposure_by_region_sliced"]
+
+
 def oracle_sql() -> dict[str, str]:
     prelude = _prelude()
     return {name: f"{prelude}\n{body}" for name, body in _QUERIES.items()}

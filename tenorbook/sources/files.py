@@ -6,12 +6,13 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tenorbook.schemas import DEALS_RAW, FX_RAW
 
 # Doubled quotes inside quoted fields, as most exporters write them.
-_QUOTING = {"quote": '"', "escape": '"'}
+QUOTING = {"quote": '"', "escape": '"'}
 
 
 @dataclass(frozen=True)
@@ -20,13 +21,15 @@ class Sources:
 
     deals: DataFrame
     fx_rates: DataFrame
+    #: Files the relations are read from, if that is all they are.
+    files: tuple[str, ...] = ()
 
     @classmethod
     def from_files(cls, spark: SparkSession, base: str, fmt: str = "csv") -> Sources:
         suffix = ".csv" if fmt == "csv" else ""
+        paths = (f"{base}/src_deals{suffix}", f"{base}/src_fx_rates{suffix}")
         return cls(
-            read_deals(spark, f"{base}/src_deals{suffix}", fmt),
-            read_fx_rates(spark, f"{base}/src_fx_rates{suffix}", fmt),
+            read_deals(spark, paths[0], fmt), read_fx_rates(spark, paths[1], fmt), paths
         )
 
     @classmethod
@@ -46,7 +49,7 @@ def _read(spark: SparkSession, path: str, fmt: str, schema: StructType) -> DataF
         return (
             spark.read.schema(schema)
             .options(header=True, enforceSchema=False, mode="FAILFAST", columnPruning=False)
-            .options(**_QUOTING)
+            .options(**QUOTING)
             .csv(path)
         )
     # A columnar table has its own types; staging accepts text and numbers alike.
@@ -66,7 +69,7 @@ def malformed_lines(spark: SparkSession, path: str, schema: StructType = DEALS_R
     lines = (
         spark.read.schema(StructType([*schema.fields, StructField("malformed_line", StringType())]))
         .options(header=True, columnNameOfCorruptRecord="malformed_line", columnPruning=False)
-        .options(**_QUOTING)
+        .options(**QUOTING)
         .csv(path)
     )
     return lines.filter("malformed_line IS NOT NULL").select(*schema.names[:1], "malformed_line")
@@ -78,7 +81,7 @@ def write_csv(frame: DataFrame, path: str) -> None:
         header=True,
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
-        **_QUOTING,
+        **QUOTING,
     ).csv(path)
 
 
@@ -90,29 +93,34 @@ def load_raw(spark: SparkSession, csv_dir: str, out_dir: str) -> Sources:
     return Sources.from_files(spark, out_dir, "parquet")
 
 
+def arranged(
+    frame: DataFrame,
+    partition_by: str | None = None,
+    cluster_by: tuple[str, ...] | None = None,
+) -> DataFrame:
+    """Rows dealt for the writer.
+
+    A partitioned table is rebalanced on its column first: few files per value, and
+    adaptive execution splits a value too large for one task. A clustered one is
+    dealt and sorted by ranges of its columns, so that readers skip files and row
+    groups; a last column without repeats lets a frequent value span many tasks.
+    Columns may be SQL expressions.
+    """
+    if cluster_by:
+        columns = [F.expr(column) for column in cluster_by]
+        return frame.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    return frame.hint("rebalance", partition_by) if partition_by else frame
+
+
 def write_tables(
     frames: Mapping[str, DataFrame],
     out_dir: str,
     partition_by: Mapping[str, str] | None = None,
     cluster_by: Mapping[str, tuple[str, ...]] | None = None,
 ) -> None:
-    """Each frame as a parquet table.
-
-    A partitioned one is rebalanced on its column first: few files per value, and
-    adaptive execution splits a value too large for one task. A clustered one is
-    dealt and sorted by ranges of its columns, so that readers skip files and row
-    groups; a last column without repeats lets a frequent value span many tasks.
-    """
+    """Each frame as a parquet table, dealt as `arranged` says."""
     for name, frame in frames.items():
         column = (partition_by or {}).get(name)
-        if name in (cluster_by or {}):
-            columns = cluster_by[name]
-            ranged = frame.repartitionByRange(*columns).sortWithinPartitions(*columns)
-            ranged.write.mode("overwrite").parquet(f"{out_dir}/{name}")
-        elif column is None:
-            frame.write.mode("overwrite").parquet(f"{out_dir}/{name}")
-        else:
-            balanced = frame.hint("rebalance", column)
-            balanced.write.mode("overwrite").partitionBy(column).parquet(
-                f"{out_dir}/{name}"
-            )
+        rows = arranged(frame, column, (cluster_by or {}).get(name))
+        writer = rows.write.mode("overwrite")
+        (writer.partitionBy(column) if column else writer).parquet(f"{out_dir}/{name}")

@@ -1,12 +1,13 @@
 from __future__ import annotations
 
+import glob
 import os
 
 import pyarrow.parquet as pq
 import pytest
 from book import raw_deals, raw_rates, rows_of
 
-from tenorbook import Config, Sources, build, publish, publish_views
+from tenorbook import Config, Sources, build, publish, publish_views, published_tables
 from tenorbook.__main__ import main
 from tenorbook.plans.build import LAYERS, Models
 from tenorbook.plans.catalog import QUERIES, Book
@@ -108,17 +109,18 @@ def test_publish_equals_lazy_models(spark, csv_dir, tmp_path):
             map(str, rows_of(frame, "*"))
         )
         assert dict(published[name].dtypes) == dict(frame.dtypes)
-    days = [d for d in os.listdir(f"{out}/mart_maturity_ladder") if d.startswith("as_of_date=")]
+    [ladder] = glob.glob(f"{out}/v*/mart_maturity_ladder")
+    days = [d for d in os.listdir(ladder) if d.startswith("as_of_date=")]
     assert len(days) == 3
     for day in days:
-        files = os.listdir(f"{out}/mart_maturity_ladder/{day}")
+        files = os.listdir(f"{ladder}/{day}")
         assert len([f for f in files if f.endswith(".parquet")]) == 1
 
 
 def test_command_line(spark, csv_dir, tmp_path, capsys):
     main([csv_dir, f"{tmp_path}/cli", "--as-of-start", "2024-01-01", "--as-of-months", "1"])
     assert "mart_maturity_ladder" in capsys.readouterr().out
-    ladder = spark.read.parquet(f"{tmp_path}/cli/mart_maturity_ladder")
+    ladder = published_tables(spark, f"{tmp_path}/cli")["mart_maturity_ladder"]
     assert sorted(rows_of(ladder, "maturity_bucket", "deal_count")) == [
         ("1. Overnight", 1),
         ("4. <= 3 Months", 1),
@@ -167,9 +169,9 @@ def test_rules_reach_the_reports_and_the_command_line(spark, csv_dir, tmp_path,
     rules = ["--active-status", "VALIDATED", "--sight-type", "FIXBIS_DEP", "--fiscal-start-month", "7"]
     labels = ["--bucket", "7=week", "--bucket", "30=month", "--sight-bucket", "now", "--last-bucket", "later"]
     main([csv_dir, f"{tmp_path}/cli", "--as-of-start", "2024-01-01", "--as-of-months", "1", *rules, *labels])
-    ladder = spark.read.parquet(f"{tmp_path}/cli/mart_maturity_ladder")
+    ladder = published_tables(spark, f"{tmp_path}/cli")["mart_maturity_ladder"]
     assert rows_of(ladder, "maturity_bucket", "deal_count") == [("now", 1)]
-    years = spark.read.parquet(f"{tmp_path}/cli/dim_date").filter("full_date = DATE '2024-06-30'")
+    years = published_tables(spark, f"{tmp_path}/cli")["dim_date"].filter("full_date = DATE '2024-06-30'")
     assert years.first().fiscal_year == "FY2023-24"
 
 
