@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenorbook.llm.common import WORD, stored
+from tenorbook.llm.placing import placed, with_position
 
 #: Shards or groups under one parent, at most, beside the top level.
 FAN = 512
@@ -145,39 +146,51 @@ def _given(begin: Column, end: Column) -> Column:
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options: object) -> DataFrame:
     """One row per document: doc_id, size, source, source_size, target of its source, and `taken` words."""
-    entries = _entries(docs, key, text, source, **options)
-    each = entries.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("copies").cast("int") - 1)))
+    entries = stored(_entries(docs, key, text, source, **options))
     begin = F.col("_begin") + F.col("_copy") * F.col("size")
-    return each.select("doc_id", "size", "source", "source_size", "target", _given(begin, begin + F.col("size")).alias("taken"))
+    return _copied(entries).select("doc_id", "size", "source", "source_size", "target", _given(begin, begin + F.col("size")).alias("taken"))
 
 
-def chosen(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", share_rows: int = 4096, **options: object) -> DataFrame:
-    """The documents in the mix with all their columns, and their `size` and `taken` words.
+def _copied(entries: DataFrame, lot: int = 4096) -> DataFrame:
+    """A row for each of `copies`, numbered from 0 in `_copy`. More than `lot` of them are dealt to tasks lot by lot."""
+    one, copies = F.lit(1).cast("long"), F.col("copies")
+    few = entries.filter(copies <= lot).withColumn("_copy", F.explode(F.sequence(one * 0, copies - 1)))
+    lots = entries.filter(copies > lot).withColumn("_lot", F.explode(F.sequence(one * 0, F.call_function("div", copies - 1, F.lit(lot)))))
+    dealt = lots.repartition("doc_id", "text_hash", "_lot")
+    many = dealt.withColumn("_copy", F.explode(F.sequence(F.col("_lot") * lot, F.least(copies, (F.col("_lot") + 1) * lot) - 1))).drop("_lot")
+    return few.unionByName(many)
 
-    Rows equal in id, source and text share the words of all of them; what does not divide goes, a word a row, to some of them.
-    These are numbered in lots of about `share_rows` rows, so that many copies never meet in one task.
+
+def chosen(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options: object) -> DataFrame:
+    """The documents in the mix with all their columns, and their `size` and `taken` words, called `mix_size` and `mix_taken` where the
+    documents have columns of those names (and so on: `mix_mix_size`).
+
+    Rows equal in id, source and text share the words of all of them; what does not divide goes, a word a row, to the first of them in the
+    order of all their columns (as JSON), so reruns agree. They are numbered by ranges of that order: many copies never meet in one task.
     """
     entries = _entries(docs, key, text, source, **options).withColumn("_all", _given(F.col("_begin"), F.col("_end"))).filter("_all > 0")
     shares = stored(
         entries.select(
             F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_hash").alias("_hash"), F.col("size").alias("_size"),
-            F.floor(F.col("_all") / F.col("copies")).alias("_taken"), (F.col("_all") % F.col("copies")).alias("_over"), F.col("copies").alias("_copies"),
+            F.floor(F.col("_all") / F.col("copies")).alias("_taken"), (F.col("_all") % F.col("copies")).alias("_over"),
         )
     )
     named = docs[key].eqNullSafe(shares["_id"]) & docs[source].eqNullSafe(shares["_source"]) & (F.xxhash64(docs[text]) == shares["_hash"])
     own, size, taken = [docs[c] for c in docs.columns], shares["_size"].alias("size"), shares["_taken"]
+    names = [_fresh(n, docs.columns) for n in ("size", "taken")]
     joined = docs.join(shares, named)
     even = joined.filter((shares["_over"] == 0) & (taken > 0)).select(*own, size, taken.alias("taken"))
     if shares.filter("_over > 0").isEmpty():
-        return even
-    lot = F.floor(F.rand() * F.ceil(shares["_copies"] / share_rows)).alias("lot")
+        return even.toDF(*docs.columns, *names)
     mine = F.struct(shares["_id"].alias("id"), shares["_source"].alias("source"), shares["_hash"].alias("hash"))
-    odd = stored(joined.filter(shares["_over"] > 0).select(F.struct(*own).alias("row"), mine.alias("entry"), lot, size, taken.alias("taken"), shares["_over"].alias("over")))
-    lots = odd.groupBy("entry", "lot").agg(F.count(F.lit(1)).alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("entry").orderBy("lot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    lots = lots.select(F.col("entry").alias("_entry"), F.col("lot").alias("_lot"), before.alias("before"))
-    place = F.row_number().over(Window.partitionBy("entry", "lot").orderBy("lot"))
-    more = odd.withColumn("place", place).join(lots, F.col("entry").eqNullSafe(F.col("_entry")) & (F.col("lot") == F.col("_lot")))
-    gets = F.col("taken") + F.when(F.col("before") + F.col("place") <= F.col("over"), 1).otherwise(0)
-    more = more.select("row", "size", gets.alias("gets")).filter("gets > 0")
-    return even.union(more.select("row.*", "size", "gets"))
+    odd = joined.filter(shares["_over"] > 0).select(F.struct(*own).alias("row"), mine.alias("entry"), size, taken.alias("taken"), shares["_over"].alias("over"))
+    numbered = with_position(placed(odd.withColumn("line", F.to_json("row")), "entry", [F.col("line")]), "entry")
+    gets = F.col("taken") + F.when(F.col("position") <= F.col("over"), 1).otherwise(0)
+    more = numbered.select("row", "size", gets.alias("gets")).filter("gets > 0")
+    return even.union(more.select("row.*", "size", "gets")).toDF(*docs.columns, *names)
+
+
+def _fresh(name: str, taken: list[str]) -> str:
+    while name.lower() in {c.lower() for c in taken}:
+        name = f"mix_{name}"
+    return name
