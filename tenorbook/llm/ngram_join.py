@@ -8,7 +8,8 @@ Within a group, blocks of bounded size meet in pairs. For each pair of texts the
 with m of n equal, the similarity has a Beta(m + 1, n - m + 1) posterior, and the pair is dropped as soon as
 its probability of reaching the threshold is below `tolerance`. What is left is verified exactly on the shingles.
 A block pair returns each text's number of links and a forest of its links, again linear in the block.
-With 24 bands of 4 a pair at similarity 0.8 is missed by all bands with probability 3e-6.
+Bands follow the threshold: as few values in each as keep a pair at the threshold from being missed by all bands with a probability
+above 1e-5 (at 0.8: 24 bands of 4, 3e-6). A threshold too low for that is refused.
 
 Result: one row per document: doc_id, class_id (the least doc_id linked to it, directly or through others) and n_links, the
 number of other documents at or above the threshold, copies included. A text without words, or null, has no shingle:
@@ -18,7 +19,7 @@ it is linked to nothing and is its own class. Ids may be null or repeated; equal
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, partial
 from math import lgamma
 
 import numpy as np
@@ -30,8 +31,9 @@ from tenorbook.llm.common import Rolling, Words, mixed, pieces, stored
 from tenorbook.llm.graph import components
 from tenorbook.llm.repeats import packed, unpacked
 
-BANDS, ROWS = 24, 4
-HASHES = BANDS * ROWS
+HASHES = 96
+#: A pair at the threshold shares no band with at most this probability.
+MISSED = 1e-5
 _MULTIPLIERS = mixed(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -72,10 +74,18 @@ def _sums(values: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _bands(signature: np.ndarray) -> np.ndarray:
-    keys = np.zeros((len(signature), BANDS), np.uint64)
-    for k in range(ROWS):
-        keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + signature[:, k::ROWS].astype(np.uint64) + np.arange(BANDS, dtype=np.uint64))
+def band_rows(threshold: float) -> int:
+    """MinHash values per band: the most, as more mean fewer candidates, that miss a pair at the threshold at most by MISSED."""
+    fine = [r for r in range(1, HASHES + 1) if HASHES % r == 0 and (1 - threshold**r) ** (HASHES // r) <= MISSED]
+    if not 0 < threshold <= 1 or not fine:
+        raise ValueError(f"threshold {threshold} needs more than {HASHES} MinHash values for a recall of {1 - MISSED}")
+    return max(fine)
+
+
+def _bands(signature: np.ndarray, rows: int) -> np.ndarray:
+    keys = np.zeros((len(signature), HASHES // rows), np.uint64)
+    for k in range(rows):
+        keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + signature[:, k::rows].astype(np.uint64) + np.arange(HASHES // rows, dtype=np.uint64))
     return keys.view(np.int64)
 
 
@@ -83,24 +93,34 @@ def _lists(values: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, values.size + 1, values.shape[1]), pa.int32()), pa.array(values.ravel()))
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketch(rows: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in pieces(batch, "text"):
             values, offsets = shingles(piece.column("text"))
             one, two = _sums(values, offsets)
-            keys = _lists(_bands(signatures(values, offsets)))
+            keys = _lists(_bands(signatures(values, offsets), rows))
             columns = [piece.column("doc_id"), piece.column("text_hash"), pa.array(one), pa.array(two), pa.array(np.diff(offsets)), keys]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "h1", "h2", "n", "bands"])
 
 
 def _heavy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Members with their signatures and shingles; rows whose text is not the member's are left out."""
+    """Members with their signatures and shingles, each once per task; rows whose text is not the member's are left out.
+
+    All rows of one id and text come to one task, or to a few where Spark splits them, so that copies of a head go no further.
+    """
+    seen: set[int] = set()
     for batch in batches:
         for piece, texts in unpacked(batch):
             values, offsets = shingles(texts)
             one, two = _sums(values, offsets)
             signature = signatures(values, offsets)
             keep = np.flatnonzero((one == piece.column("h1").to_numpy()) & (two == piece.column("h2").to_numpy()))
+            cids = piece.column("cid").to_numpy()[keep]
+            fresh = np.zeros(len(keep), bool)
+            fresh[np.unique(cids, return_index=True)[1]] = True
+            keep, cids = keep[fresh], cids[fresh]
+            keep = keep[[c not in seen for c in cids.tolist()]] if len(keep) else keep
+            seen.update(cids.tolist())
             if len(keep):
                 raw = pa.array([signature[k].tobytes() for k in keep], pa.binary()), pa.array([values[offsets[k] : offsets[k + 1]].tobytes() for k in keep], pa.binary())
                 names = ["group", "blocks", "cid", "copies"]
@@ -172,7 +192,7 @@ def join(
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     sketch = rows.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
-        _sketch, f"doc_id {kind}, text_hash long, h1 long, h2 long, n long, bands array<long>"
+        partial(_sketch, band_rows(threshold)), f"doc_id {kind}, text_hash long, h1 long, h2 long, n long, bands array<long>"
     )
     sketch = stored(sketch)
     classes = sketch.filter("n > 0").groupBy("h1", "h2").agg(
