@@ -4,9 +4,11 @@ A profile is the list of a language's most frequent n-grams, in order. A documen
 out-of-place distance: the sum, over the document's n-grams, of how far each stands from its place in the profile, or the
 length of a profile if it is not there. The nearest language wins, ties go to the smaller name.
 
-N-grams are 1 to 3 bytes of the lower-cased UTF-8 text in which everything but letters is one kind of space;
+N-grams are 1 to 3 bytes of the lower-cased UTF-8 text. Everything in ASCII but letters is one kind of space; bytes beyond ASCII count as
+letters, also those of punctuation and emoji, and a character of three bytes is one n-gram of three;
 an n-gram holds no space but at its ends. All n-grams of the whole text count. Profiles are learned from
-a sample by hash of about `per_language` documents of each language (a parameter; all, if there are fewer).
+a seeded random sample of about `per_language` documents of each language (a parameter; all, if there are fewer). The
+same files give the same sample.
 
 A text that is null or has no letter is `und` with score 0; the score of others is how much nearer the nearest
 profile is than the next one, between 0 and 1. Without anything to learn from all are `und`.
@@ -79,7 +81,9 @@ def profiles(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str
     """The most frequent n-grams of each language, best first, from rows outside the held-out fifth."""
     known = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & ~held_out(key)).select(F.col(key).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     sizes = stored(known.groupBy("lang").agg((per_language / F.count(F.lit(1)) * (1 << 30)).alias("below")))
-    sample = known.join(sizes, "lang").filter(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 30)) < F.col("below")).select("lang", "text")
+    # Drawn row by row, not by id: rows of one id or text are neither all in nor all out, so no language is lost and the sample stays bounded.
+    drawn = known.withColumn("draw", F.rand(7) * (1 << 30))
+    sample = drawn.join(sizes, "lang").filter(F.col("draw") < F.col("below")).select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
