@@ -33,15 +33,22 @@ from tenorbook.llm.common import Rolling, Words, mixed, stored
 WINDOW = 35
 #: True: run round, False: pair round.
 ROUNDS = (True, False, False)
-#: A window's symbol begins so many words after the window at most.
-LEAD = 20
+
+
+def lead_of(window: int) -> int:
+    """A window's symbol begins so many words after the window at most: always inside, with words of the window behind it."""
+    if window < 1:
+        raise ValueError("a window has at least one word")
+    return min(20, 4 * window // 7)
+
+
 _ONE, _TWO = 0x9E6C63D0876A9A63, 0xC2B2AE3D27D4EB4F
 _PART = 1 << 18
 
 
 def _anchors(names: np.ndarray, doc: np.ndarray, starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each window: where its symbol begins, the round and the symbol's name."""
-    n = len(names)
+    n, lead = len(names), lead_of(window)
     begin, end, name, of = np.arange(n), np.arange(1, n + 1), names, doc
     place, level, known = starts.copy(), np.zeros(len(starts), np.int8), names[starts]
     alive, low, high = np.arange(len(starts)), starts.copy(), starts + window
@@ -69,14 +76,14 @@ def _anchors(names: np.ndarray, doc: np.ndarray, starts: np.ndarray, window: int
             name = np.where(joins, np.r_[joined, name[-1:]], name)[keep]
             end = np.where(joins, np.r_[end[1:], end[-1:]], end)[keep]
             begin, of = begin[keep], of[keep]
-        fine = (low < high) & (low - starts[alive] <= LEAD)
+        fine = (low < high) & (low - starts[alive] <= lead)
         alive, low, high = alive[fine], low[fine], high[fine]
         if not len(alive):
             break
         first[begin], last[end] = np.arange(len(begin)), np.arange(len(begin))
         place[alive], level[alive], known[alive] = low, k, name[first[low]]
     else:
-        upto = np.searchsorted(begin, starts[alive] + LEAD, "right") - 1
+        upto = np.searchsorted(begin, starts[alive] + lead, "right") - 1
         least = _least(mixed(name), first[low], np.minimum(upto, last[high]))
         place[alive], known[alive] = begin[least], name[least]
     return place, level, known
@@ -113,7 +120,7 @@ def _cut(window: int, texts: pa.Array) -> tuple:
         lo, hi, s = starts[heads], starts[tails], place[heads]
         shape = mixed((s - lo).astype(np.uint64) * np.uint64(1 << 20) + (hi - lo).astype(np.uint64) * np.uint64(64) + level[heads].astype(np.uint64))
         rolling = Rolling(own, _ONE)
-        a = mixed(known[heads] + level[heads].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ rolling.of(s, s + window - LEAD))
+        a = mixed(known[heads] + level[heads].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ rolling.of(s, s + window - lead_of(window)))
         base = at - words.upto[of[lo]]
         out.append((of[lo], a, mixed(rolling.of(lo, hi + window) + shape), lo + base, hi + base))
     none = np.zeros(0, np.int64)
