@@ -11,7 +11,11 @@ one block of queries whatever the number of either.
 
 Components become floor(scale * x). Vectors that are null, empty or hold null or non-finite components take no part, as
 query or candidate. Vectors of different lengths are not compared. Repeated rows are rows of their own: a row is
-excluded only from its own result. Ties go to the smaller id, a null id last. Scores are exact up to 2**53.
+excluded only from its own result. Ties go to the smaller id, a null id last. Scores are exact whole numbers; one beyond
+the range of a long is the largest or smallest long (but for its sign's last) and ties with others beyond it.
+
+Where components are so large that sums of products may leave 2**53, bounds are widened by their rounding error and scores are
+taken in whole numbers of any length. Keys are whole numbers.
 """
 
 from __future__ import annotations
@@ -25,8 +29,12 @@ from pyspark.sql import functions as F
 
 from tenorbook.llm.common import stored
 
-_LAST = np.iinfo(np.int64).max
-_FOUND = "qid long, query_id long, rid long, id long, score double"
+_LAST = int(np.iinfo(np.int64).max)
+#: Below this, sums of products of whole numbers are exact in doubles.
+_EXACT = 2.0**53
+#: The largest double within the range of a long.
+_WITHIN = float(np.nextafter(2.0**63, 0))
+_FOUND = "qid long, query_id long, rid long, id long, score long"
 
 
 class Tree:
@@ -51,14 +59,32 @@ class Tree:
             order = np.argpartition(box[:, axis], len(rows) // 2)
             stack += [(rows[order[: len(rows) // 2]], node, 0), (rows[order[len(rows) // 2 :]], node, 1)]
         self.low, self.high = np.array(self.low), np.array(self.high)
+        self.reach = np.abs(vectors).max(0) if len(vectors) else np.zeros(0)
 
     def bounds(self, queries: np.ndarray) -> np.ndarray:
-        return np.maximum(queries, 0) @ self.high.T + np.minimum(queries, 0) @ self.low.T
-
-    def search(self, query: np.ndarray, bounds: np.ndarray, own: int, k: int, floor: tuple[float, int]) -> list[tuple[float, int, int]]:
+        """Of each query and node, what no vector of the node can exceed, rounding included."""
+        with np.errstate(over="ignore", invalid="ignore"):
+            most = np.abs(queries) @ self.reach
+            slack = np.where(most < _EXACT, 0.0, most * (len(self.reach) + 2) * 2.0**-51)
+            found = np.maximum(queries, 0) @ self.high.T + np.minimum(queries, 0) @ self.low.T + slack[:, None]
+        return np.maximum(np.nan_to_num(found, nan=np.inf), -_WITHIN)  # as scores beyond the range of a long are
+
+    def is_small(self, query: np.ndarray) -> bool:
+        with np.errstate(over="ignore"):
+            return bool(np.abs(query) @ self.reach < _EXACT)
+
+    def scores(self, rows: np.ndarray, query: np.ndarray, small: bool) -> np.ndarray:
+        """Scores as whole numbers within the range of a long."""
+        if small:
+            return (self.vectors[rows] @ query).astype(np.int64)
+        whole = list(map(int, query.tolist()))
+        sums = (sum(a * b for a, b in zip(map(int, v), whole, strict=True)) for v in self.vectors[rows].tolist())
+        return np.array([max(-_LAST, min(int(_LAST), x)) for x in sums], np.int64)
+
+    def search(self, query: np.ndarray, bounds: np.ndarray, own: int, k: int, floor: tuple[float, int]) -> list[tuple[int, int, int]]:
         """The best (-score, id, rid) not worse than `floor`, a (-score, id) that k others already reach."""
-        best: list[tuple[float, int, int]] = []
-        queue = [(-bounds[0], self.least[0], 0)]
+        best: list[tuple[int, int, int]] = []
+        queue, small = [(-bounds[0], self.least[0], 0)], self.is_small(query)
         while queue:
             bound, least, node = heapq.heappop(queue)
             if (bound, least) > floor and bound > floor[0]:
@@ -69,11 +95,11 @@ class Tree:
                 for child in self.children[node]:
                     heapq.heappush(queue, (-bounds[child], self.least[child], child))
                 continue
-            scores = -(self.vectors[rows] @ query)
+            scores = -self.scores(rows, query, small)
             for x in np.flatnonzero(scores <= floor[0]).tolist():
                 row = rows[x]
                 if self.rids[row] != own:
-                    best.append((float(scores[x]), int(self.ids[row]), int(self.rids[row])))
+                    best.append((int(scores[x]), int(self.ids[row]), int(self.rids[row])))
             if len(best) >= k:
                 best = heapq.nsmallest(k, best)
                 floor = min(floor, best[-1][:2])
@@ -82,7 +108,8 @@ class Tree:
 
 def _matrix(column: pa.ChunkedArray, rows: int) -> np.ndarray:
     values = pa.concat_arrays([x.flatten() for x in column.chunks]) if column.num_chunks else pa.array([], pa.float64())
-    return values.to_numpy(zero_copy_only=False).reshape(rows, -1 if rows else 0)
+    whole = np.floor(values.to_numpy(zero_copy_only=False))
+    return np.clip(whole, -1e300, 1e300).reshape(rows, -1 if rows else 0)
 
 
 def _numbers(table: pa.Table, name: str) -> np.ndarray:
@@ -92,14 +119,15 @@ def _numbers(table: pa.Table, name: str) -> np.ndarray:
 def _answers(tree: Tree, queries: pa.Table, k: int) -> pa.Table:
     out: dict[str, list] = {"qid": [], "query_id": [], "rid": [], "id": [], "score": []}
     points, qids, names = _matrix(queries["v"], queries.num_rows), _numbers(queries, "rid"), _numbers(queries, "id")
-    floors, edges = _numbers(queries, "floor"), _numbers(queries, "edge")
+    open_ = queries["floor"].is_null().to_numpy()
+    floors, edges = queries["floor"].fill_null(0).to_numpy(), _numbers(queries, "edge")
     for begin in range(0, len(points), 256):
         bounds = tree.bounds(points[begin : begin + 256])
         for x, row in enumerate(bounds, begin):
-            for score, name, rid in tree.search(points[x], row, qids[x], k, (-floors[x], edges[x])):
+            for score, name, rid in tree.search(points[x], row, qids[x], k, (float("inf") if open_[x] else -int(floors[x]), int(edges[x]))):
                 for column, value in zip(out.values(), (qids[x], names[x], rid, name, -score), strict=True):
                     column.append(value)
-    return pa.table({n: pa.array(c, pa.float64() if n == "score" else pa.int64()) for n, c in out.items()})
+    return pa.table({n: pa.array(c, pa.int64()) for n, c in out.items()})
 
 
 def top_k(vectors: DataFrame, key: str = "vec_id", embedding: str = "embedding", every: int = 50, k: int = 5, scale: int = 256, shard_rows: int = 4096, query_rows: int = 4096) -> DataFrame:
@@ -110,13 +138,13 @@ def top_k(vectors: DataFrame, key: str = "vec_id", embedding: str = "embedding",
         F.monotonically_increasing_id().alias("rid"),
         F.coalesce("_key", F.lit(int(_LAST))).alias("id"),
         F.coalesce(F.col("_key") % every == 0, F.lit(False)).alias("asks"),
-        F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("double")).alias("v"),
+        F.transform("embedding", lambda x: x.cast("double") * scale).alias("v"),
     ).withColumn("dim", F.size("v"))
     rows = stored(rows)
     count, asking = rows.agg(F.count(F.lit(1)), F.count_if("asks")).first()
     shards, blocks = max(1, -(-count // shard_rows)), max(1, -(-asking // query_rows))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("rid"), F.lit(shards)))
-    start = {"floor": F.lit(float("-inf")), "edge": F.lit(int(_LAST))}
+    start = {"floor": F.lit(None).cast("long"), "edge": F.lit(int(_LAST))}
 
     def at_home(table: pa.Table) -> pa.Table:
         tree = Tree(_matrix(table["v"], table.num_rows), _numbers(table, "id"), _numbers(table, "rid"))
@@ -124,7 +152,7 @@ def top_k(vectors: DataFrame, key: str = "vec_id", embedding: str = "embedding",
 
     def elsewhere(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
-            return pa.table({n: pa.array([], pa.float64() if n == "score" else pa.int64()) for n in ("qid", "query_id", "rid", "id", "score")})
+            return pa.table({n: pa.array([], pa.int64()) for n in ("qid", "query_id", "rid", "id", "score")})
         tree = Tree(_matrix(left["v"], left.num_rows), _numbers(left, "id"), _numbers(left, "rid"))
         return _answers(tree, right, k)
 
@@ -133,7 +161,7 @@ def top_k(vectors: DataFrame, key: str = "vec_id", embedding: str = "embedding",
     reached = F.col("n") >= k
     worst = worst.select("qid", F.when(reached, -F.col("w.s")).alias("f"), F.when(reached, F.col("w.i")).alias("e"))
     queries = rows.filter("asks").join(worst, F.col("rid") == F.col("qid"), "left").select(
-        "rid", "id", "v", "dim", F.col("shard").alias("home"), F.coalesce("f", start["floor"]).alias("floor"), F.coalesce("e", start["edge"]).alias("edge")
+        "rid", "id", "v", "dim", F.col("shard").alias("home"), F.col("f").alias("floor"), F.coalesce("e", start["edge"]).alias("edge")
     )
     queries = queries.withColumn("block", F.pmod(F.xxhash64("rid", F.lit(1)), F.lit(blocks)))
     queries = queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)).cast("array<long>"))).filter("shard <> home")
@@ -144,7 +172,7 @@ def top_k(vectors: DataFrame, key: str = "vec_id", embedding: str = "embedding",
     order = Window.partitionBy("qid").orderBy(F.desc("score"), "id", "rid")
     found = first.unionByName(second).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     named = F.when(F.col("id") != int(_LAST), F.col("id"))
-    return found.select("query_id", "rank", named.alias("vec_id"), F.col("score").cast("long").alias("score"))
+    return found.select("query_id", "rank", named.alias("vec_id"), "score")
 
 
 def _usable(name: str) -> Column:
