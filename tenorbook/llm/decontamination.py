@@ -127,7 +127,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 13, rarest: i
     hits = stored(occurrences(index, window, rarest))
     words = hits.select("rid", "pos").distinct().groupBy("rid").agg(F.count(F.lit(1)).alias("n_hit"))
     named = hits.select("rid", "iid").distinct().join(index.items.select("iid", "item_id"), "iid")
-    listed = named.groupBy("rid").agg(F.count(F.lit(1)).alias("n_items"), F.collect_set(F.col("item_id").cast("string")).alias("_ids"))
+    listed = named.groupBy("rid").agg(F.count(F.lit(1)).alias("n_items"), F.collect_list(F.col("item_id").cast("string")).alias("_ids"))
     rows = index.headers.join(words, "rid", "left").join(listed, "rid", "left").fillna(0, ["n_hit", "n_items"])
     ids = F.concat_ws(",", F.array_sort(F.coalesce("_ids", F.array().cast("array<string>"))))
     return rows.select(
