@@ -82,8 +82,8 @@ def test_mix_of_rows_without_ids_keeps_each_source(spark):
     want, got, copies = Counter(), Counter(), defaultdict(list)
     for r in mixing.mix(docs, shard_words=1000).collect():
         want[r.source] += r.taken
-    kept = mixing.chosen(docs, share_rows=16, shard_words=1000)
-    assert kept.columns == [*docs.columns, "size", "taken"]
+    kept = mixing.chosen(docs, shard_words=1000)
+    assert kept.columns == [*docs.columns, "mix_size", "taken"]
     for _, text, source, _, size, taken in map(tuple, kept.collect()):
         assert size == len(text.split()) and 0 < taken <= 2 * size
         got[source] += taken
@@ -284,7 +284,7 @@ def test_decontamination(spark, odd):
             hit |= {i + d for i in at for d in range(size)}
             found += [str(name)] if at and name is not None else []
         n = sum(1 for name, text in items if (p := low(text)) and any(tuple(words[i : i + min(13, len(p))]) in {tuple(p[j : j + min(13, len(p))]) for j in range(len(p) - min(13, len(p)) + 1)} for i in range(len(words) - min(13, len(p)) + 1)))
-        want.append((r.doc_id, len(words), len(hit), n, hashlib.sha256(",".join(sorted(set(found))).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(words)))
+        want.append((r.doc_id, len(words), len(hit), n, hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(words)))
     columns = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
     assert rows_of(decontamination.contamination(odd, bench), *columns) == sorted(want, key=str)
     assert decontamination.decontaminate(odd, bench).count() == sum(not w[-1] for w in want)
