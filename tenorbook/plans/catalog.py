@@ -15,6 +15,7 @@ from tenorbook.operators.staging import stage_deals, stage_fx_rates
 from tenorbook.plans.build import Models, publish_views
 from tenorbook.plans.publishing import publish
 from tenorbook.schemas import DEALS_RAW, ORDER_TABLES
+from tenorbook.sources.buckets import bucket_published
 from tenorbook.sources.files import Sources, read_fx_rates, write_csv
 from tenorbook.sources.loading import load_deals, loaded_deals, rejected_lines
 from tenorbook.sources.order_book import deals_from_orders, fx_from_month_ends
@@ -239,6 +240,23 @@ def _published_columns(b: Book) -> DataFrame:
     return listed.join(quality.row_counts(tables), "relation")
 
 
+def _bucketed(b: Book) -> dict[str, DataFrame]:
+    """Published deals in buckets, under names of their own."""
+    path = new_folder(b.spark, "buckets")
+    return bucket_published(b.spark, _published(b), path, path.rsplit("/", 1)[1].replace("-", "_"), buckets=16)
+
+
+def _bucketed_grain(b: Book) -> DataFrame:
+    return quality.grain_report({"fct_currency_deposits": (_bucketed(b)["fct_currency_deposits"], ("deal_id",))})
+
+
+def _bucketed_names(b: Book) -> DataFrame:
+    """Each deal of the fact with the counterparty's name as the converted deal has it, bucket by bucket."""
+    tables = _bucketed(b)
+    names = tables["int_deals_with_sdr"].select("deal_id", "cpty_name", "cpty_country")
+    return tables["fct_currency_deposits"].join(names, "deal_id").select("deal_id", "cpty_name", "cpty_country", "nominal_amount_sdr")
+
+
 QUERIES: dict[str, Callable[[Book], DataFrame]] = {
     # sources and staging
     "src_deals": lambda b: b.sources.deals,
@@ -319,6 +337,8 @@ QUERIES: dict[str, Callable[[Book], DataFrame]] = {
     "published_row_counts": _published_counts,
     "published_columns": _published_columns,
     "published_exposure_sliced": _published_sliced_by_region,
+    "bucketed_grain": _bucketed_grain,
+    "bucketed_names": _bucketed_names,
 }
 
 

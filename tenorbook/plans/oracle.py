@@ -72,7 +72,7 @@ src_deals AS (
   )
 ),
 month_ends AS (
-  SELECT n, last_day(DATE '1995-01-01' + to_months(n)) AS month_end
+  SELECT n, last_day((SELECT date_trunc('month', min(o_orderdate))::date FROM orders) + to_months(n)) AS month_end
   FROM (SELECT unnest(generate_series(0, (
     SELECT date_diff('month', min(o_orderdate), max(o_orderdate)) FROM orders
   )))::int AS n)
@@ -82,7 +82,7 @@ src_fx_rates AS (
   SELECT
     strftime(month_end, '%Y-%m-%d') AS rate_date,
     currency_code,
-    (base::decimal(7,6) * (100 + n % 7 - 3)::decimal(5,0) * 0.01::decimal(3,2))
+    (base::decimal(7,6) * (100 + (year(month_end) * 12 + month(month_end) - 1) % 7 - 3)::decimal(5,0) * 0.01::decimal(3,2))
       ::decimal(12,6)::varchar AS sdr_per_unit
   FROM month_ends, base_rates
 )"""
@@ -145,7 +145,8 @@ covered_days AS (
   FROM stg_deals
 ),
 calendar_days AS (
-  SELECT unnest(generate_series(DATE '1995-01-01', DATE '2008-12-31', INTERVAL 1 DAY))::date
+  SELECT unnest(generate_series((SELECT make_date(year(min(o_orderdate)), 1, 1) FROM orders),
+    (SELECT make_date(year(max(o_orderdate)::date + 2557), 12, 31) FROM orders), INTERVAL 1 DAY))::date
     AS full_date
 ),
 fiscal_years AS (
@@ -166,8 +167,8 @@ term_buckets(above, up_to, label) AS (VALUES (0, 7, '2. <= 1 Week'),
   (7, 30, '3. <= 1 Month'), (30, 90, '4. <= 3 Months'), (90, 180, '5. <= 6 Months'),
   (180, 365, '6. <= 1 Year'), (365, 99999999, '7. > 1 Year')),
 as_of_dates AS (
-  SELECT last_day(DATE '1995-01-01' + to_months(i::int)) AS as_of_date
-  FROM range(80) t(i)
+  SELECT last_day((SELECT date_trunc('month', min(o_orderdate))::date FROM orders) + to_months(i::int)) AS as_of_date
+  FROM range((SELECT date_diff('month', min(o_orderdate), max(o_orderdate)) + 1 FROM orders)) t(i)
 ),
 exposed AS (
   SELECT a.*, as_of_date, (maturity_date - as_of_date)::int AS days_to_maturity,
@@ -266,7 +267,7 @@ def _cast_failure(column: str) -> str:
       WHERE trim(r.{column}) <> '' AND s.{column} IS NULL"""
 
 
-_CALENDAR_KEYS = "SELECT date_key FROM fiscal_days WHERE full_date <= DATE '2001-08-31'"
+_CALENDAR_KEYS = "SELECT date_key FROM fiscal_days WHERE full_date <= (SELECT last_day(max(o_orderdate)::date) FROM orders)"
 
 _BROKEN = "(regexp_extract(deal_id, '([0-9]+)$', 1)::bigint % 211 = 0 OR regexp_extract(deal_id, '([0-9]+)$', 1)::bigint % 223 = 0)"
 
@@ -501,6 +502,8 @@ _QUERIES = {
 }
 
 
+_QUERIES["bucketed_grain"] = _grain("fct_currency_deposits", "fct_currency_deposits", "deal_id")
+_QUERIES["bucketed_names"] = "SELECT deal_id, cpty_name, cpty_country, nominal_amount_sdr FROM int_deals_with_sdr"
 _QUERIES["published_row_counts"] = _QUERIES["dq_row_counts"]
 _QUERIES["published_exposure_sliced"] = _QUERIES["exposure_by_region_sliced"]
 
