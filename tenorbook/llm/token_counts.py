@@ -6,7 +6,8 @@ begins first wins; a character without a piece of its own may be unknown, at ten
 vocabulary; a run of unknown characters is one unknown, spelled in bytes if the vocabulary has byte pieces.
 As in the tokenizer, spaces become word marks and words are segmented apart, so a word's count is kept and used again.
 
-Null and empty texts have 0 tokens. Keys may be null and rows repeated. The vocabulary's path is a parameter.
+Null and empty texts have 0 tokens. Keys may be null and rows repeated. The vocabulary's path is a parameter. A text of any length is counted
+word by word; a worker's memory follows the longest stretch without a space, some 60 bytes per character, and is otherwise bounded.
 """
 
 from __future__ import annotations
@@ -19,8 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-#: Words remembered by a worker at most; then it forgets them all.
-REMEMBERED = 400_000
+#: Words remembered by a worker at most, then it forgets them all; longer words than so many characters are not remembered.
+REMEMBERED, SHORT = 400_000, 48
 
 
 def vocabulary(path: str) -> list[tuple[str, float]]:
@@ -83,13 +84,15 @@ class Counter:
         words = text.replace(" ", MARK).split(MARK)
         words = words[1:] if not words[0] else words
         memory = self.memory
-        if len(memory) > REMEMBERED:
-            memory.clear()
         total = 0
         for word in words:
             known = memory.get(word)
             if known is None:
-                known = memory[word] = self.word(MARK + word)
+                known = self.word(MARK + word)
+                if len(word) <= SHORT:
+                    if len(memory) >= REMEMBERED:
+                        memory.clear()
+                    memory[word] = known
             total += known
         return total
 
