@@ -21,9 +21,12 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder. Only where the session names none (as in tests) is one made and named."""
+    """The cluster's shared folder. Only where a local session names none (as in tests) is one made and named; a cluster without one is refused."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors reach")
         found = tempfile.mkdtemp(prefix="tenorbook-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")

@@ -158,3 +158,31 @@ def test_copies_of_a_head_meet_once(spark):
     packed = {"small": pa.Codec("zstd").compress(raw, asbytes=True), "size": len(raw), "h1": one, "h2": two}
     batch = pa.RecordBatch.from_pylist([dict.fromkeys(("group", "blocks", "cid", "copies"), 1) | packed] * 50)
     assert sum(b.num_rows for b in ngram_join._heavy(iter([batch] * 3))) == 1
+
+
+def test_token_counts_remember_short_words_only():
+    from tenorbook.llm import queries, token_counts
+
+    counter = token_counts.Counter(token_counts.vocabulary(queries.VOCABULARY))
+    long = "ab" * 5000
+    assert counter.text(f"one two {long} one") == counter.text("one two one") + counter.word(token_counts.MARK + long)
+    assert set(counter.memory) == {"one", "two"}
+    token_counts.REMEMBERED, kept = 3, token_counts.REMEMBERED
+    try:
+        counter.text(" ".join(f"w{k}" for k in range(50)))
+        assert len(counter.memory) <= 3
+    finally:
+        token_counts.REMEMBERED = kept
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    from tenorbook.llm.common import shared_folder
+    from tenorbook.sources import scratch
+
+    context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context)
+    for folder in (shared_folder, scratch.shared_folder):
+        with pytest.raises(ValueError, match="checkpoint"):
+            folder(session)
