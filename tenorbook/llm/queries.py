@@ -84,6 +84,30 @@ def _crc32(text: str) -> str:
 
 
 SQL = {
+    "op2_suffix_dedup": """
+with d as (select row_number() over () as rid, doc_id, encode(coalesce(text, '')) as raw from documents),
+windows as (select rid, s, md5(raw[s:s + 399]) as h from d, unnest(range(1, octet_length(raw) - 398)) as t(s)),
+many as (select h from windows group by h having count(*) > 1),
+starts as (select rid, s, s - lag(s) over (partition by rid order by s) as step from windows semi join many using (h)),
+islands as (select rid, s, sum(if(step <= 400, 0, 1)) over (partition by rid order by s) as island from starts),
+runs as (select rid, min(s) as b, max(s) + 399 as e from islands group by rid, island),
+behind as (select *, coalesce(lag(e) over (partition by rid order by b), 0) as last from runs),
+gone as (select rid, count(*) as n_spans, sum(e - b + 1) as n_removed, string_agg(hex(raw[last + 1:b - 1]), '' order by b) as kept, max(e) as upto
+  from behind join d using (rid) group by rid)
+select doc_id, cast(octet_length(raw) as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed, coalesce(n_spans, 0) as n_spans,
+  sha256(unhex(coalesce(kept, '') || hex(raw[coalesce(upto, 0) + 1:octet_length(raw)]))) as kept_sha256
+from d left join gone using (rid)""",
+    "op4_ngram_join": r"""
+with recursive d as (select row_number() over () as rid, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+shingle as (select distinct rid, array_to_string(w[s:s + least(5, len(w)) - 1], ' ') as g from d, unnest(range(1, len(w) - least(5, len(w)) + 2)) as t(s) where len(w) > 0),
+sizes as (select rid, count(*) as n from shingle group by rid),
+common as (select a.rid as a, b.rid as b, count(*) as c from shingle a join shingle b on a.g = b.g and a.rid < b.rid group by all),
+links as (select a, b from common join sizes x on x.rid = a join sizes y on y.rid = b where 5 * c >= 4 * (x.n + y.n - c)),
+ties as (select a, b from links union all select b, a from links),
+reach(rid, other) as (select rid, rid from d union select r.rid, b from reach r join ties on a = r.other),
+class as (select reach.rid, min(doc_id) as class_id from reach join d on d.rid = reach.other group by reach.rid),
+counts as (select a as rid, count(*) as n_links from ties group by a)
+select doc_id, class_id, coalesce(n_links, 0) as n_links from d join class using (rid) left join counts using (rid)""",
     "op6_substring_dedup": r"""
 with d as (select row_number() over () as rid, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
 windows as (select rid, s, md5(array_to_string(w[s:s + 34], ' ')) as h from d, unnest(range(1, len(w) - 33)) as t(s)),
