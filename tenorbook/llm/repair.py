@@ -7,7 +7,7 @@ edits' initials together. Both parts only grow along a deduction and keep their
 and the agenda, which pops the least weight, finalises every item the first time it pops it, up to the goals.
 
 A conversation is repaired in stretches of at most 256 rows, so that one of any length is no single task's work. Per
-stretch the agenda runs from each state the stretch can be entered in and leaves, for each state it can be left in, cost and audit. A fold over the
+stretch the agenda runs from each state the stretch can be entered in (a conversation's first: nothing yet) and leaves, for each state it can be left in, cost and audit. A fold over the
 stretches of a conversation then picks the lightest chain. It needs numbers only: an inserted turn belongs to the row that
 follows, so audits of one prefix in different states never begin one another, and their order is settled by the first stretch in which they differ.
 The edits go back to the rows, which stream by conversation in order into the repaired texts' hash, a batch at a time.
@@ -102,11 +102,14 @@ def _deductions(rows: list[tuple[str, str]]) -> Callable[[Item], list[Deduction]
     return of
 
 
-def transfers(rows: list[tuple[str, str]]) -> dict[tuple[int, int], Weight]:
-    """(state before, state after) -> least (cost, audit) of a stretch of rows. fault: b blank, d duplicate, t truncated, n none."""
+def transfers(rows: list[tuple[str, str]], entered: Iterable[int] = tuple(STEPS)) -> dict[tuple[int, int], Weight]:
+    """(state before, state after) -> least (cost, audit) of a stretch of rows, for the states it may be entered in.
+
+    fault: b blank, d duplicate, t truncated, n none.
+    """
     deductions, axioms = _deductions(rows), [("row", i) for i in range(len(rows))]
     out = {}
-    for before in STEPS:
+    for before in entered:
         goals = {("prefix", len(rows), after, False) for after in STEPS if after == before or after > SYSTEM or (before, after) == (EMPTY, SYSTEM)}
         final = lightest([*axioms, ("prefix", 0, before, False)], deductions, goals)
         out |= {(before, g[2]): final[g] for g in goals if g in final}
@@ -167,18 +170,24 @@ def damaged(rows: DataFrame) -> DataFrame:
 
 
 def _coded(rows: DataFrame) -> DataFrame:
-    """at, conv_id, initial and fault of placed rows. Equal role and text are found by SHA-256; the first of them per conversation is joined by its number."""
+    """at, conv_id, initial, fault of placed rows, and whether a row opens its conversation.
+
+    Equal role and text are found by SHA-256; the first of them per conversation, and the first row of all, are joined by their numbers.
+    """
     worded = F.regexp_extract("text", r"([^\x20\x09-\x0D])[\x20\x09-\x0D]*\z", 1)
     name = F.sha2(F.concat(F.length("role").cast("string"), F.lit(":"), F.col("role"), F.col("text")), 256)
     coded = rows.select("conv_id", "at", F.substring("role", 1, 1).alias("initial"), worded.alias("last"), F.unhex(name).alias("name"))
     firsts = coded.groupBy("conv_id", "name").agg(F.min("at").alias("first"))
     fault = F.when(F.col("last") == "", "b").when(F.col("first").isNull(), "d").when(~F.col("last").isin(".", "!", "?"), "t").otherwise("n")
-    return coded.join(firsts.select("first"), F.col("at") == F.col("first"), "left").select("conv_id", "at", "initial", fault.alias("fault"))
+    opening = firsts.groupBy("conv_id").agg(F.min("first").alias("opening")).select("opening")
+    joined = coded.join(firsts.select("first"), F.col("at") == F.col("first"), "left").join(opening, F.col("at") == F.col("opening"), "left")
+    return joined.select("conv_id", "at", "initial", fault.alias("fault"), F.col("opening").isNotNull().alias("opens"))
 
 
 def _stretch(key: tuple, members: Iterator[tuple]) -> Iterator[tuple]:
-    codes = [row[3:] for row in members]
-    found = transfers(codes)
+    rows = list(members)
+    codes = [row[3:5] for row in rows]
+    found = transfers(codes, (EMPTY,) if rows[0][5] else STEPS)
     ways = [(q, r) for q in STEPS for r in STEPS]
     order = {q: sorted(STEPS, key=lambda r: found.get((q, r), (0, ""))[1]) for q in STEPS}
     costs, audits = [found.get(w, (-1, ""))[0] for w in ways], [found.get(w, (-1, ""))[1] for w in ways]
@@ -201,7 +210,7 @@ def _links(key: tuple, members: Iterator[tuple]) -> Iterator[tuple]:
 def _edits(rows: DataFrame) -> DataFrame:
     """Per stretch of placed rows: conv_id, at (its begin), the faults, the state before it and the audit on the lightest chain."""
     block = F.shiftright("at", BLOCK).alias("block")
-    coded = _coded(rows).select("conv_id", block, "at", "initial", "fault")
+    coded = _coded(rows).select("conv_id", block, "at", "initial", "fault", "opens")
     stretches = stored(_by_key(coded, ["conv_id", "block"], ["at"], _stretch, "block long, faults string, costs array<int>, audits array<string>, ranks array<int>"))
     links = _by_key(stretches.select("conv_id", "block", "costs", "ranks"), ["conv_id"], ["block"], _links, "block long, before int, way int")
     # A block holds the stretches of many conversations, each once.
