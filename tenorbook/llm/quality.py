@@ -198,12 +198,10 @@ def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
 def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.3) -> DataFrame:
     """The documents that score at least `threshold`, with all their columns; the model is learned as in `classify`."""
     model = learn(stored(with_features(docs.join(labels.select(key).distinct(), key, "left_semi"), key, text)), labels, key=key)
-    at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            named = pa.RecordBatch.from_arrays([batch.column(at), pa.array(np.arange(batch.num_rows))], ["text", "row"])
-            parts = [model.score(features(p.column("text"))) for p in pieces(named, "text")]
-            yield batch.filter(pa.array(np.concatenate(parts) >= threshold)) if parts else batch
+            for piece in pieces(batch, text):
+                yield piece.filter(pa.array(model.score(features(piece.column(text))) >= threshold))
 
     return docs.mapInArrow(run, docs.schema)
