@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tenorbook.llm import decontamination, language_id, mixing, ngram_join, substring_dedup, topk_search, warc
 from tenorbook.ship import ship
@@ -186,3 +187,28 @@ def test_a_cluster_without_a_shared_folder_is_refused():
     for folder in (shared_folder, scratch.shared_folder):
         with pytest.raises(ValueError, match="checkpoint"):
             folder(session)
+
+
+def test_top_k_drops_far_shards_before_the_shuffle(spark):
+    """In clustered vectors most pairs of query and shard are closed by the shard's box; a group of equal vectors is still cut to size."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(30, 8))
+    centres /= np.linalg.norm(centres, axis=1)[:, None]
+    points = np.floor(256 * (centres[rng.integers(0, 30, 3000)] + rng.normal(scale=0.02, size=(3000, 8))))
+    points[:1000] = points[0]
+    frame = spark.createDataFrame([(k, p.tolist(), 8) for k, p in enumerate(points)], "rid long, v array<double>, dim int").repartition(4)
+    rows = topk_search.sharded(frame, 64, 1024).withColumn("asks", F.col("rid") % 50 == 0).withColumn("id", F.col("rid"))
+    rows = rows.cache()
+    sizes = [r["count"] for r in rows.groupBy("shard").count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) < 128
+    boxes = rows.groupBy("shard", "dim").agg(*[F.array(*[f(F.col("v")[k]) for k in range(8)]).alias(n) for n, f in (("low", F.min), ("high", F.max))])
+    best = {k: sorted(((points @ points[k])[np.arange(3000) != k]).tolist())[-5] for k in range(0, 3000, 50)}
+    asked = rows.filter("asks").join(spark.createDataFrame([(k, int(v)) for k, v in best.items()], "rid long, floor long"), "rid").withColumnRenamed("shard", "home")
+    pairs = {(r.rid, r.shard) for r in topk_search.open_pairs(asked, boxes, 16).collect()}
+    assert len(pairs) < 0.4 * len(best) * len(sizes)
+    where = {r.rid: r.shard for r in rows.select("rid", "shard").collect()}
+    for k, floor in best.items():
+        for other in np.flatnonzero(points @ points[k] >= floor).tolist():
+            assert where[other] == where[k] or (k, where[other]) in pairs
+    print(f"open pairs: {len(pairs)} of {len(best) * len(sizes)}")
+    rows.unpersist()
