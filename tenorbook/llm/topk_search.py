@@ -56,7 +56,7 @@ def limits(queries: np.ndarray, low: np.ndarray, high: np.ndarray, reach: np.nda
 
 
 class Tree:
-    def __init__(self, vectors: np.ndarray, ids: np.ndarray, rids: np.ndarray, leaf: int = 48):
+    def __init__(self, vectors: np.ndarray, ids: np.ndarray, rids: np.ndarray, leaf: int = 256):
         self.vectors, self.ids, self.rids = vectors, ids, rids
         self.low, self.high, self.least, self.children, self.rows = [], [], [], [], []
         stack = [(np.arange(len(vectors)), -1, 0)]
